@@ -133,7 +133,7 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("k", F.explode(F.sequence("lo", "hi")).alias("h"))
     )
     full = spine.join(seen, ["k", "h"], "left").withColumn("n", F.coalesce("n", F.lit(0.0)))
-    return series_index(full, ["k"], "h")
+    return series_index(full, ["k"], "h", span=(0, 1_000_000))
 
 
 # -- orders per day and status: integers with many ties -----------------------------------

@@ -512,7 +512,7 @@ def _(spark, sf):
 
 @query(
     "moving_peaks",
-    f"WITH {WEEKLY} SELECT k, t, round(avg(y) OVER w, 5) AS trail_mean, round(stddev_pop(y) OVER w, 3) AS trail_std, "
+    f"WITH {WEEKLY} SELECT k, t, CASE WHEN i >= 104 THEN round(avg(y) OVER w, 5) END AS trail_mean, CASE WHEN i >= 104 THEN round(stddev_pop(y) OVER w, 3) END AS trail_std, "
     "CAST(CASE WHEN i >= 104 AND abs(y - avg(y) OVER w) > 3 * stddev_pop(y) OVER w THEN 1 ELSE 0 END AS INTEGER) "
     "AS signal FROM s WINDOW w AS (PARTITION BY k ORDER BY i ROWS BETWEEN 104 PRECEDING AND 1 PRECEDING)",
 )

@@ -1,12 +1,16 @@
-"""Ordered work cut into bounded blocks.
-
-A window over ``partitionBy(key)`` puts a whole series into one task.  The
-helpers here keep every task bounded, however long one series is:
-
-* :func:`position` gives each row a dense 0-based index per key,
-* :func:`with_halo` cuts that index into blocks and copies the few rows a fixed
-  frame reaches across a block border,
-* :func:`running_totals` carries sums over an order from block to block,
+"""Ordered work cut into bounded pieces.
+
+A window over ``partitionBy(key)`` puts a whole series into one task.  That is
+fine, and needs only one shuffle for a chain of operators, where the length of a
+series has a proven bound; otherwise the series is cut into blocks.
+
+* :func:`position` gives each row a dense 0-based index per key.  Where the order
+  column proves a bound (a date, or a number checked against a span) the index
+  column carries it as metadata.
+* :class:`Cut` picks per-series windows for bounded positions; for others it cuts
+  the index into blocks and copies the few rows a fixed frame reaches across a
+  block border.
+* :func:`running_totals` carries sums over an order from block to block.
 * :func:`bounded_position` fails in the map stage, before any shuffle, when an
   operator that needs a whole series in one task meets one that is too long.
 """
@@ -23,6 +27,8 @@ from pyspark.sql import types as T
 BLOCK = 65_536
 MAX_POINTS = 1_000_000
 BLK = "_blk"
+BOUND = "series_bound"
+DAYS_IN_DATE_TYPE = 3_652_059
 
 
 def block_of(pos: str | Column, size: int = BLOCK) -> Column:
@@ -30,59 +36,119 @@ def block_of(pos: str | Column, size: int = BLOCK) -> Column:
     return F.floor(pos / F.lit(size)).cast("long")
 
 
+def known_bound(df: DataFrame, order: str) -> int | None:
+    """Most rows one series can have, if its order column proves a bound."""
+    field = df.schema[order]
+    if BOUND in field.metadata:
+        return field.metadata[BOUND]
+    return DAYS_IN_DATE_TYPE if isinstance(field.dataType, T.DateType) else None
+
+
 def _coarse_order(df: DataFrame, order: str) -> Column:
-    """A monotone, deterministic cut of the order column into calendar or number blocks."""
-    kind = df.schema[order].dataType
-    col = F.col(order)
-    if isinstance(kind, T.DateType):
-        return F.year(col).cast("long")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.datediff(F.to_date(col), F.lit("1970-01-01").cast("date")).cast("long")
-    return block_of(col)
+    """A monotone, deterministic cut of an unbounded order column."""
+    if isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)):
+        day = F.to_date(F.col(order))
+        return F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long")
+    return block_of(order)
 
 
-def position(df: DataFrame, keys: Sequence[str], order: str, out: str = "i") -> DataFrame:
-    """Dense 0-based index of each row within its key, in ``order``.
+def position(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    out: str = "i",
+    span: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Dense 0-based index of each row within its key, in ``order`` (unique per key).
 
-    Rows are numbered inside (key, calendar block); the start of a block is the
+    A date order, or a whole number inside ``span`` (others raise in the map
+    stage), bounds the series: one window per key does it.  Otherwise rows are
+    numbered inside (key, day or number block), and the start of a block is the
     running count of the blocks before it, so no task sees a whole long series.
     """
     keys = list(keys)
+    bound = known_bound(df, order)
+    if bound is None and span is not None:
+        low, high = span
+        inside = (F.col(order) >= low) & (F.col(order) < high)
+        kind = df.schema[order].dataType
+        checked = F.when(inside, F.col(order)).otherwise(
+            F.raise_error(F.lit(f"{order} outside {low} to {high}")).cast(kind)
+        )
+        df = df.withColumn(order, checked)
+        bound = high - low
+    if bound is not None:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+        return df.withColumn(out, number.cast("long")).withMetadata(out, {BOUND: bound})
     tagged = df.withColumn("_ob", _coarse_order(df, order))
     sizes = tagged.groupBy(*keys, "_ob").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         *keys, "_ob", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
     )
-    inside = Window.partitionBy(*keys, "_ob").orderBy(order)
+    within = Window.partitionBy(*keys, "_ob").orderBy(order)
     return (
         tagged.join(starts, [*keys, "_ob"])
-        .withColumn(out, (F.row_number().over(inside) - 1 + F.col("_start")).cast("long"))
+        .withColumn(out, (F.row_number().over(within) - 1 + F.col("_start")).cast("long"))
         .drop("_ob", "_start")
     )
 
 
-def with_halo(
-    df: DataFrame, pos: str, before: int = 0, after: int = 0, size: int = BLOCK
-) -> DataFrame:
-    """Add ``_blk``; rows within ``before``/``after`` of a border also join the neighbour.
+class Cut:
+    """A series table cut for work whose frame reaches ``before`` and ``after`` rows.
 
-    A row at ``p`` is needed by every block that holds a row in
-    ``p - after … p + before``.  Keep the own rows afterwards with :func:`own_rows`.
+    ``rows`` is the table to work on, ``groups`` its grouping, ``window`` the
+    matching window.  ``own`` drops the copied rows again.  A row at ``p`` is
+    needed by every block that holds a row in ``p - after … p + before``.
     """
-    if before == 0 and after == 0:
-        return df.withColumn(BLK, block_of(pos, size))
-    first = F.greatest(block_of(F.col(pos) - F.lit(after), size), F.lit(0).cast("long"))
-    last = block_of(F.col(pos) + F.lit(before), size)
-    return df.withColumn(BLK, F.explode(F.sequence(first, last)))
-
-
-def own_rows(df: DataFrame, pos: str, size: int = BLOCK) -> DataFrame:
-    return df.where(F.col(BLK) == block_of(pos, size))
 
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        pos: str,
+        before: int = 0,
+        after: int = 0,
+        size: int | None = None,
+    ):
+        self.pos, self.size = pos, size or BLOCK
+        self.whole = size is None and known_bound(df, pos) is not None
+        if self.whole:
+            self.rows, self.groups = df, list(keys)
+        else:
+            self.groups = [*keys, BLK]
+            block = block_of(pos, self.size)
+            if before or after:
+                first = F.greatest(
+                    block_of(F.col(pos) - F.lit(after), self.size), F.lit(0).cast("long")
+                )
+                last = block_of(F.col(pos) + F.lit(before), self.size)
+                block = F.explode(F.sequence(first, last))
+            self.rows = df.withColumn(BLK, block)
+        self.window = Window.partitionBy(*self.groups).orderBy(pos)
+        self.backward = Window.partitionBy(*self.groups).orderBy(F.col(pos).desc())
+
+    def own(self, df: DataFrame) -> DataFrame:
+        if self.whole:
+            return df
+        return df.where(F.col(BLK) == block_of(self.pos, self.size)).drop(BLK)
+
+
+def with_totals(
+    df: DataFrame, keys: Sequence[str], pos: str | None, totals: dict[str, Column]
+) -> DataFrame:
+    """Attach per-key aggregates to every row.
 
-def block_window(keys: Sequence[str], pos: str):
-    return Window.partitionBy(*keys, BLK).orderBy(pos)
+    A bounded series takes them from a window on its own partition, in the same
+    pass.  Otherwise they are aggregated and joined back, an ordinary equi join
+    that adaptive execution broadcasts if small and splits on a hot key.
+    """
+    keys = list(keys)
+    if pos is not None and known_bound(df, pos) is not None:
+        span = Window.partitionBy(*keys)
+        return df.withColumns({name: total.over(span) for name, total in totals.items()})
+    found = df.groupBy(*keys).agg(*[total.alias(name) for name, total in totals.items()])
+    return df.join(found, keys, "left")
 
 
 def bounded_position(pos: str, limit: int = MAX_POINTS) -> Column:

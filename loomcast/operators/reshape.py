@@ -7,12 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.functions.blocks import position
+from loomcast.functions.blocks import position, with_totals
 
 
-def series_index(df: DataFrame, keys: Sequence[str], order: str, out: str = "i") -> DataFrame:
-    """0-based position per key, in ``order``."""
-    return position(df, keys, order, out)
+def series_index(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    out: str = "i",
+    span: tuple[int, int] | None = None,
+) -> DataFrame:
+    """0-based position per key, in ``order``.  ``span`` declares the range of a number order."""
+    return position(df, keys, order, out, span)
 
 
 def only_series(df: DataFrame, key: str, *names) -> DataFrame:
@@ -69,10 +75,9 @@ def columns_with_prefix(columns: Sequence[str], prefix: str) -> list[str]:
     return [c for c in columns if c.startswith(prefix)]
 
 
-def row_totals(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
+def row_totals(df: DataFrame, keys: Sequence[str], pos: str | None = None, out: str = "n") -> DataFrame:
     """Attach the row count of each key."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return df.join(sizes, list(keys))
+    return with_totals(df, keys, pos, {out: F.count(F.lit(1))})
 
 
 def split_fraction(
@@ -81,7 +86,7 @@ def split_fraction(
     """Tag the first ``floor(frac * n)`` rows of each key ``train``, the others ``test``."""
     limit = F.floor(F.col("_rows") * F.lit(float(frac)))
     part = F.when(F.col(pos) < limit, F.lit("train")).otherwise(F.lit("test"))
-    return row_totals(df, keys, "_rows").withColumn(out, part).drop("_rows")
+    return row_totals(df, keys, pos, "_rows").withColumn(out, part).drop("_rows")
 
 
 def split_at(df: DataFrame, pos: str, cutoff: int, out: str = "part") -> DataFrame:
@@ -95,7 +100,7 @@ def split_half(df: DataFrame, keys: Sequence[str], pos: str, out: str = "part")
     """``split_at`` with each key's half-way point."""
     half = F.floor(F.col("_rows") / F.lit(2))
     part = F.when(F.col(pos) < half, F.lit("first")).otherwise(F.lit("second"))
-    return row_totals(df, keys, "_rows").withColumn(out, part).drop("_rows")
+    return row_totals(df, keys, pos, "_rows").withColumn(out, part).drop("_rows")
 
 
 def fill_missing_only(df: DataFrame, value: str, prediction: str, out: str | None = None) -> DataFrame:

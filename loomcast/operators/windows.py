@@ -11,21 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcast.functions.blocks import (
-    BLK,
-    BLOCK,
-    block_window,
-    order_statistics,
-    own_rows,
-    value_counts,
-    with_halo,
-)
+from loomcast.functions.blocks import BLK, Cut, block_of, order_statistics, value_counts
 
 FILLS = ("ffill", "bfill", "linear", "knn")
 
 
 def neighbours(
-    df: DataFrame, keys: Sequence[str], pos: str, value: str, n: int = 0, size: int = BLOCK
+    df: DataFrame, keys: Sequence[str], pos: str, value: str, n: int = 0, size: int | None = None
 ) -> DataFrame:
     """Add ``_prev``/``_next``: nearest known (position, value) at or before / after a row.
 
@@ -38,26 +30,23 @@ def neighbours(
     known = F.when(
         F.col(value).isNotNull(), F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))
     )
-    blocked = with_halo(df, pos, half, max(half - 1, 0), size)
-    ahead = block_window(keys, pos)
-    back = Window.partitionBy(*keys, BLK).orderBy(F.col(pos).desc())
+    cut = Cut(df, keys, pos, half, max(half - 1, 0), size)
     upto = (Window.unboundedPreceding, 0)
     extra = []
     if n:
-        extra = [F.avg(value).over(ahead.rowsBetween(-half, half - 1)).alias("_mean")]
-    local = own_rows(
-        blocked.select(
-            "*",
-            F.last(known, ignorenulls=True).over(ahead.rowsBetween(*upto)).alias("_lp"),
-            F.last(known, ignorenulls=True).over(back.rowsBetween(*upto)).alias("_ln"),
-            *extra,
-        ),
-        pos,
-        size,
+        extra = [F.avg(value).over(cut.window.rowsBetween(-half, half - 1)).alias("_mean")]
+    local = cut.rows.select(
+        "*",
+        F.last(known, ignorenulls=True).over(cut.window.rowsBetween(*upto)).alias("_prev"),
+        F.last(known, ignorenulls=True).over(cut.backward.rowsBetween(*upto)).alias("_next"),
+        *extra,
     )
+    if cut.whole:
+        return local
+    local = local.where(F.col(BLK) == block_of(pos, cut.size))
     ends = (
-        with_halo(df, pos, size=size)
-        .groupBy(*keys, BLK)
+        Cut(df, keys, pos, size=cut.size)
+        .rows.groupBy(*keys, BLK)
         .agg(F.max(known).alias("_last"), F.min(known).alias("_first"))
     )
     by_block = Window.partitionBy(*keys).orderBy(BLK)
@@ -71,17 +60,12 @@ def neighbours(
     )
     return (
         local.join(carry, [*keys, BLK])
-        .withColumns(
-            {
-                "_prev": F.coalesce("_lp", "_cp"),
-                "_next": F.coalesce("_ln", "_cn"),
-            }
-        )
-        .drop(BLK, "_lp", "_ln", "_cp", "_cn")
+        .withColumns({"_prev": F.coalesce("_prev", "_cp"), "_next": F.coalesce("_next", "_cn")})
+        .drop(BLK, "_cp", "_cn")
     )
 
 
-def _linear(pos: str, value: str) -> Column:
+def linear_value(pos: str, value: str) -> Column:
     p, q = F.col("_prev"), F.col("_next")
     between = p["v"] + (q["v"] - p["v"]) * (F.col(pos) - p["p"]) / F.nullif(
         q["p"] - p["p"], F.lit(0)
@@ -95,7 +79,7 @@ def _linear(pos: str, value: str) -> Column:
 
 
 def fill_candidates(
-    df: DataFrame, keys: Sequence[str], pos: str, value: str, n: int = 8, size: int = BLOCK
+    df: DataFrame, keys: Sequence[str], pos: str, value: str, n: int = 8, size: int | None = None
 ) -> DataFrame:
     """All window fills of one column side by side: ``ffill bfill linear knn``."""
     around = neighbours(df, keys, pos, value, n, size)
@@ -103,7 +87,7 @@ def fill_candidates(
         *df.columns,
         F.col("_prev.v").alias("ffill"),
         F.col("_next.v").alias("bfill"),
-        _linear(pos, value).alias("linear"),
+        linear_value(pos, value).alias("linear"),
         F.coalesce(F.col(value), F.col("_mean")).alias("knn"),
     )
 
@@ -113,46 +97,43 @@ def _one_fill(df, keys, pos, value, expression, size) -> DataFrame:
     return around.select(*df.columns, expression.alias("filled"))
 
 
-def fill_forward(df: DataFrame, keys, pos: str, value: str, size: int = BLOCK) -> DataFrame:
+def fill_forward(df: DataFrame, keys, pos: str, value: str, size: int | None = None) -> DataFrame:
     """Last known value; leading gaps stay missing."""
     return _one_fill(df, keys, pos, value, F.col("_prev.v"), size)
 
 
-def fill_backward(df: DataFrame, keys, pos: str, value: str, size: int = BLOCK) -> DataFrame:
+def fill_backward(df: DataFrame, keys, pos: str, value: str, size: int | None = None) -> DataFrame:
     """Next known value; trailing gaps stay missing."""
     return _one_fill(df, keys, pos, value, F.col("_next.v"), size)
 
 
-def fill_linear(df: DataFrame, keys, pos: str, value: str, size: int = BLOCK) -> DataFrame:
+def fill_linear(df: DataFrame, keys, pos: str, value: str, size: int | None = None) -> DataFrame:
     """Straight line by position; trailing gaps take the last value, leading gaps stay."""
-    return _one_fill(df, keys, pos, value, _linear(pos, value), size)
+    return _one_fill(df, keys, pos, value, linear_value(pos, value), size)
 
 
 def fill_neighbour_mean(
-    df: DataFrame, keys, pos: str, value: str, n: int = 8, size: int = BLOCK
+    df: DataFrame, keys, pos: str, value: str, n: int = 8, size: int | None = None
 ) -> DataFrame:
     """Mean of the known values in rows ``i - n/2 … i + n/2 - 1`` of the original series."""
     half = math.ceil(n / 2)
-    window = block_window(keys, pos).rowsBetween(-half, half - 1)
-    filled = with_halo(df, pos, half, half - 1, size).select(
-        *df.columns, BLK, F.coalesce(F.col(value), F.avg(value).over(window)).alias("filled")
-    )
-    return own_rows(filled, pos, size).drop(BLK)
+    cut = Cut(df, keys, pos, half, half - 1, size)
+    mean = F.avg(value).over(cut.window.rowsBetween(-half, half - 1))
+    return cut.own(cut.rows.withColumn("filled", F.coalesce(F.col(value), mean)))
 
 
 def lag_features(
-    df: DataFrame, keys, pos: str, lags: dict[str, int], size: int = BLOCK
+    df: DataFrame, keys, pos: str, lags: dict[str, int], size: int | None = None
 ) -> DataFrame:
     """Add ``{col}_1 … {col}_L`` for every column with largest lag ``L``, in one projection."""
     reach = max(lags.values(), default=0)
-    window = block_window(keys, pos)
+    cut = Cut(df, keys, pos, before=reach, size=size)
     added = [
-        F.lag(col, h).over(window).alias(f"{col}_{h}")
+        F.lag(col, h).over(cut.window).alias(f"{col}_{h}")
         for col, top in lags.items()
         for h in range(1, top + 1)
     ]
-    lagged = with_halo(df, pos, before=reach, size=size).select("*", *added)
-    return own_rows(lagged, pos, size).drop(BLK)
+    return cut.own(cut.rows.select("*", *added))
 
 
 def select_target_lags(
@@ -183,34 +164,31 @@ def longest_lag(columns: Sequence[str]) -> int:
 
 
 def difference(
-    df: DataFrame, keys, pos: str, value: str, d: int = 1, out: str = "diff", size: int = BLOCK
+    df: DataFrame, keys, pos: str, value: str, d: int = 1, out: str = "diff", size: int | None = None
 ) -> DataFrame:
     """``d``-th difference as a signed binomial sum of lags; the first ``d`` rows are missing."""
-    window = block_window(keys, pos)
+    cut = Cut(df, keys, pos, before=d, size=size)
     total = F.col(value)
     for h in range(1, d + 1):
         weight = float((-1) ** h * math.comb(d, h))
-        total = total + F.lit(weight) * F.lag(value, h).over(window)
-    changed = with_halo(df, pos, before=d, size=size).select("*", total.alias(out))
-    return own_rows(changed, pos, size).drop(BLK)
+        total = total + F.lit(weight) * F.lag(value, h).over(cut.window)
+    return cut.own(cut.rows.withColumn(out, total))
 
 
 def moving_peaks(
-    df: DataFrame, keys, pos: str, value: str, lag: int, threshold: float, size: int = BLOCK
+    df: DataFrame, keys, pos: str, value: str, lag: int, threshold: float, size: int | None = None
 ) -> DataFrame:
     """Signal 1 where a value is over ``threshold`` deviations off the mean of the ``lag`` before it."""
-    window = block_window(keys, pos).rowsBetween(-lag, -1)
-    blocked = with_halo(df, pos, before=lag, size=size)
-    measured = blocked.select(
+    cut = Cut(df, keys, pos, before=lag, size=size)
+    trail = cut.window.rowsBetween(-lag, -1)
+    measured = cut.rows.select(
         "*",
-        F.avg(value).over(window).alias("trail_mean"),
-        F.stddev_pop(value).over(window).alias("trail_std"),
-    )
-    hit = (F.col(pos) >= lag) & (
-        F.abs(F.col(value) - F.col("trail_mean")) > F.lit(float(threshold)) * F.col("trail_std")
+        F.when(F.col(pos) >= lag, F.avg(value).over(trail)).alias("trail_mean"),
+        F.when(F.col(pos) >= lag, F.stddev_pop(value).over(trail)).alias("trail_std"),
     )
-    flagged = measured.withColumn("signal", F.when(hit, F.lit(1)).otherwise(F.lit(0)))
-    return own_rows(flagged, pos, size).drop(BLK)
+    off = F.abs(F.col(value) - F.col("trail_mean"))
+    hit = off > F.lit(float(threshold)) * F.col("trail_std")
+    return cut.own(measured.withColumn("signal", F.when(hit, F.lit(1)).otherwise(F.lit(0))))
 
 
 def winsorize_upper(
