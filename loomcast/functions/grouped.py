@@ -33,7 +33,7 @@ def per_group(
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = work(pdf)
         for k in keys:
-            out[k] = [pdf[k].iloc[0]] * len(out)
+            out[k] = pd.Series([pdf[k].iloc[0]] * len(out), index=out.index, dtype=object)
         return out[names]
 
     return df.groupBy(*groups).applyInPandas(run, schema)
