@@ -94,6 +94,12 @@ def position(
     )
 
 
+def keep_bound(df: DataFrame, source: DataFrame, pos: str) -> DataFrame:
+    """Hand the proven bound of ``source``'s position on to a result of a grouped task."""
+    bound = known_bound(source, pos)
+    return df if bound is None else df.withMetadata(pos, {BOUND: bound})
+
+
 class Cut:
     """A series table cut for work whose frame reaches ``before`` and ``after`` rows.
 

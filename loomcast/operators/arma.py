@@ -245,7 +245,7 @@ def _weights(terms, coef):
     return ar, ma
 
 
-def _psi(ar, ma, steps: int) -> np.ndarray:
+def shock_weights(ar, ma, steps: int) -> np.ndarray:
     psi = np.zeros(steps)
     for k in range(steps):
         psi[k] = 1.0 if k == 0 else ma.get(k, 0.0) + sum(
@@ -254,7 +254,7 @@ def _psi(ar, ma, steps: int) -> np.ndarray:
     return psi
 
 
-def _recurse(z, e, ar, ma, const, extra, steps: int) -> np.ndarray:
+def continue_series(z, e, ar, ma, const, extra, steps: int) -> np.ndarray:
     """Continue a series: known lags first, then its own predictions; future shocks are zero."""
     z, e = list(z), list(e)
     for k in range(steps):
@@ -310,9 +310,9 @@ def arma_forecast(
         if future is not None and row["_next"] is not None:
             x = np.array([np.asarray(s["x"], float) for s in row["_next"]][:steps])
             extra[: len(x)] = x @ coef[len(coef) - len(exog) :]
-        z = _recurse(pdf["z"], pdf["e"].fillna(0.0), ar, ma, coef[0], extra, steps)
+        z = continue_series(pdf["z"], pdf["e"].fillna(0.0), ar, ma, coef[0], extra, steps)
         sigma = np.sqrt(row["rss"] / max(row["_fit_n"] - len(coef), 1))
-        half = Z95 * sigma * np.sqrt(np.cumsum(_psi(ar, ma, steps) ** 2))
+        half = Z95 * sigma * np.sqrt(np.cumsum(shock_weights(ar, ma, steps) ** 2))
         mean = row["mean"] + row["sd"] * z
         return pd.DataFrame(
             {"step": np.arange(1, steps + 1), "mean": mean, "lower": mean - half, "upper": mean + half}
@@ -396,9 +396,9 @@ def in_sample_predict(
         coef = np.asarray(row["coef"], float)
         ar, ma = _weights(list(row["terms"]), coef)
         past = pdf["e"].fillna(0.0)[:start]
-        z = _recurse(pdf["z"][:start], past, ar, ma, coef[0], np.zeros(steps), steps)
+        z = continue_series(pdf["z"][:start], past, ar, ma, coef[0], np.zeros(steps), steps)
         spread = np.sqrt(row["_rss"] / max(row["_fit_n"] - len(coef), 1))
-        wide = Z95 * spread * np.sqrt(np.cumsum(_psi(ar, ma, steps) ** 2))
+        wide = Z95 * spread * np.sqrt(np.cumsum(shock_weights(ar, ma, steps) ** 2))
         centre = row["mean"] + row["sd"] * z
         return pd.DataFrame(
             {

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.functions.blocks import Cut
+from loomcast.functions.blocks import Cut, keep_bound
 from loomcast.functions.curves import loess_decompose
 from loomcast.functions.grouped import per_series, to_null
 
@@ -73,7 +73,8 @@ def stl(
         )
 
     extra = f"`{pos}` bigint, `{value}` double, season double, trend double, resid double"
-    return per_series(frame, keys, pos, [value, "_period"], extra, decompose)
+    parts = per_series(frame, keys, pos, [value, "_period"], extra, decompose)
+    return keep_bound(parts, df, pos)
 
 
 def additive_adjust(
