@@ -105,7 +105,7 @@ def _(spark, sf):
 
 @query("lasso_select")
 def _(spark, sf):
-    found = L.lasso_select(panel(spark, sf), ["k"], "i", "cases", FEATURES)
+    found = L.lasso_select(panel(spark, sf), ["k"], "i", "price", FEATURES)
     return rounded(found, 6, "coef")
 
 

@@ -52,6 +52,17 @@ def _coarse_order(df: DataFrame, order: str) -> Column:
     return block_of(order)
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash rows by key into a fixed number of partitions.
+
+    Windows per series need this shuffle anyway.  Asking for it keeps adaptive
+    execution from merging its partitions by bytes: numeric work per series is
+    heavy for its bytes, and whatever follows on the same keys stays spread.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count, *keys)
+
+
 def position(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,6 +89,7 @@ def position(
         df = df.withColumn(order, checked)
         bound = high - low
     if bound is not None:
+        df = spread(df, keys)
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
         return df.withColumn(out, number.cast("long")).withMetadata(out, {BOUND: bound})
     tagged = df.withColumn("_ob", _coarse_order(df, order))

@@ -49,39 +49,64 @@ def spline_moments(x, y, left_end: bool, right_end: bool):
 # -- loess decomposition (Cleveland et al. 1990) ------------------------------------------
 
 
+def _tricube(n: int, span: int, at: np.ndarray):
+    """Neighbour positions and tricube weights of each place in ``at`` on 0 … n-1."""
+    width = min(span, n)
+    start = np.clip(np.floor(at).astype(int) - (width - 1) // 2, 0, n - width)
+    places = start[:, None] + np.arange(width)
+    reach = np.maximum(at - start, start + width - 1 - at)
+    if span > n:
+        reach = reach + (span - n) // 2
+    distance = np.abs(places - at[:, None])
+    share = np.minimum(distance / np.maximum(reach, 1e-300)[:, None], 1)
+    w = np.where(distance <= 0.001 * reach[:, None], 1.0, (1 - share**3) ** 3)
+    return places, np.where(distance <= 0.999 * reach[:, None], w, 0.0)
+
+
 def loess(y, span: int, at=None, weights=None):
-    """Local linear regression on positions 0 … n-1 with tricube weights, at positions ``at``."""
-    n = len(y)
+    """Local linear regression on positions 0 … n-1 with tricube weights, at positions ``at``.
+
+    ``y`` may hold several series of one length as rows; ``weights`` has its shape.
+    """
+    flat = np.ndim(y) == 1
+    rows = np.atleast_2d(y)
+    extra = None if weights is None else np.atleast_2d(weights)
+    n = rows.shape[1]
     at = np.arange(n, dtype=float) if at is None else np.asarray(at, float)
-    width = min(span, n)
-    out = np.empty(len(at))
-    chunk = max(1, 2_000_000 // width)
+    out = np.empty((len(rows), len(at)))
+    chunk = max(1, 2_000_000 // (min(span, n) * len(rows)))
     for begin in range(0, len(at), chunk):
         x = at[begin : begin + chunk]
-        start = np.clip(np.floor(x).astype(int) - (width - 1) // 2, 0, n - width)
-        places = start[:, None] + np.arange(width)
-        reach = np.maximum(x - start, start + width - 1 - x)
-        if span > n:
-            reach = reach + (span - n) // 2
-        distance = np.abs(places - x[:, None])
-        share = distance / np.maximum(reach, 1e-300)[:, None]
-        w = np.where(distance <= 0.001 * reach[:, None], 1.0, (1 - np.minimum(share, 1) ** 3) ** 3)
-        w = np.where(distance <= 0.999 * reach[:, None], w, 0.0)
-        if weights is not None:
-            w = w * weights[places]
-        total = w.sum(axis=1)
+        places, kernel = _tricube(n, span, x)
+        w = kernel[None] if extra is None else kernel * extra[:, places]
+        total = w.sum(axis=2)
         good = total > 0
-        w = w / np.where(good, total, 1.0)[:, None]
-        centre = (w * places).sum(axis=1)
-        offset = places - centre[:, None]
-        spread = (w * offset**2).sum(axis=1)
+        w = w / np.where(good, total, 1.0)[:, :, None]
+        centre = (w * places).sum(axis=2)
+        offset = places - centre[:, :, None]
+        spread = (w * offset**2).sum(axis=2)
         tilt = np.where(
             np.sqrt(spread) > 0.001 * (n - 1), (x - centre) / np.where(spread > 0, spread, 1.0), 0.0
         )
-        fit = (w * (1 + tilt[:, None] * offset) * y[places]).sum(axis=1)
-        nearest = y[np.clip(np.rint(x).astype(int), 0, n - 1)]
-        out[begin : begin + chunk] = np.where(good, fit, nearest)
-    return out
+        fit = (w * (1 + tilt[:, :, None] * offset) * rows[:, places]).sum(axis=2)
+        nearest = rows[:, np.clip(np.rint(x).astype(int), 0, n - 1)]
+        out[:, begin : begin + chunk] = np.where(good, fit, nearest)
+    return out[0] if flat else out
+
+
+def _smooth_phases(loose, period: int, span: int, weights):
+    """Smooth each phase of the cycle, one period beyond both ends."""
+    n = len(loose)
+    cycle = np.empty(n + 2 * period)
+    longer = n % period
+    for phases, length in ((np.arange(longer), n // period + 1), (np.arange(longer, period), n // period)):
+        if len(phases) == 0:
+            continue
+        places = phases[:, None] + period * np.arange(length)
+        part = None if weights is None else weights[places]
+        smooth = loess(loose[places], span, np.arange(-1, length + 1), part)
+        cycle[phases[:, None] + period * np.arange(length + 2)] = smooth
+    return cycle
 
 
 def _running_mean(y, width: int):
@@ -107,14 +132,7 @@ def loess_decompose(y, period: int, robust: bool = False, seasonal: int = 7):
     trend, season = np.zeros(n), np.zeros(n)
     for turn in range(outer + 1):
         for _ in range(inner):
-            loose = y - trend
-            cycle = np.empty(n + 2 * period)
-            for phase in range(period):
-                part = loose[phase::period]
-                part_weights = None if weights is None else weights[phase::period]
-                cycle[phase::period] = loess(
-                    part, seasonal, np.arange(-1, len(part) + 1), part_weights
-                )
+            cycle = _smooth_phases(y - trend, period, seasonal, weights)
             low = _running_mean(_running_mean(_running_mean(cycle, period), period), 3)
             season = cycle[period : period + n] - loess(low, low_span)
             trend = loess(y - season, trend_span, weights=weights)

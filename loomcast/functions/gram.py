@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.functions.blocks import BLK, Cut
+from loomcast.functions.blocks import BLK, Cut, spread
 from loomcast.functions.grouped import per_group
 
 CHUNK = 65_536
@@ -43,14 +43,18 @@ class Solved:
         return self.n * np.log(max(self.rss, 1e-300) / self.n) + np.log(self.n) * (len(self.coef) + 1)
 
 
+def _scaled(gram: np.ndarray, columns: list[int], target: int):
+    a, b = gram[np.ix_(columns, columns)], gram[columns, target]
+    scale = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
+    return a / np.outer(scale, scale), b / scale, scale
+
+
 def solve(gram: np.ndarray, columns: Sequence[int], target: int, n: int) -> Solved | None:
     """Regress ``target`` on ``columns`` of a cross-product matrix; None if it cannot be solved."""
     columns = list(columns)
     if n <= len(columns):
         return None
-    a, b = gram[np.ix_(columns, columns)], gram[columns, target]
-    scale = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
-    a, b = a / np.outer(scale, scale), b / scale
+    a, b, scale = _scaled(gram, columns, target)
     try:
         np.linalg.cholesky(a)
         inverse = np.linalg.inv(a)
@@ -63,6 +67,18 @@ def solve(gram: np.ndarray, columns: Sequence[int], target: int, n: int) -> Solv
     return Solved(coef / scale, se / scale, rss, n)
 
 
+def residual_sum(gram: np.ndarray, columns: Sequence[int], target: int) -> float:
+    """Residual sum of squares alone."""
+    a, b, _ = _scaled(gram, list(columns), target)
+    try:
+        root = np.linalg.cholesky(a)
+        part = np.linalg.solve(root, b)
+        explained = part @ part
+    except np.linalg.LinAlgError:
+        explained = b @ np.linalg.pinv(a, hermitian=True) @ b
+    return max(float(gram[target, target] - explained), 0.0)
+
+
 @dataclass
 class Summed:
     """What a solver gets per key: one matrix per spec and the first values of each column."""
@@ -118,7 +134,7 @@ def lagged_fit(
         return solver(Summed(grams, {c: v[:head] for c, v in values.items()}, pdf.iloc[0]))
 
     if cut.whole:
-        return per_group(cut.rows, keys, keys, extra, whole)
+        return per_group(spread(cut.rows, keys), keys, keys, extra, whole)
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(pos, ignore_index=True)

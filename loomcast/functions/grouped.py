@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomcast.functions.blocks import MAX_POINTS, bounded_position
+from loomcast.functions.blocks import MAX_POINTS, bounded_position, spread
 
 
 def key_schema(df: DataFrame, keys: Sequence[str], extra: str) -> T.StructType:
@@ -55,7 +55,7 @@ def per_series(
     """
     slim = df.select(*keys, bounded_position(pos, limit).alias(pos), *columns)
     return per_group(
-        slim, keys, keys, extra, lambda pdf: work(pdf.sort_values(pos, ignore_index=True))
+        spread(slim, keys), keys, keys, extra, lambda pdf: work(pdf.sort_values(pos, ignore_index=True))
     )
 
 

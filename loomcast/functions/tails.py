@@ -51,6 +51,8 @@ def incomplete_beta(a, b, x):
             c = 1 + top / c
             c = np.where(np.abs(c) < tiny, tiny, c)
             total = total * d * c
+        if m > 3 and np.all(np.abs(d * c - 1) < 1e-15):
+            break
     inside = (z > 0) & (z < 1)
     safe = np.where(inside, z, 0.5)
     front = np.exp(
@@ -76,6 +78,8 @@ def chi2_sf(q, df):
     for k in range(1, 500):
         term = term * safe / (s + k)
         series = series + term
+        if np.all(term < 1e-17 * series):
+            break
     b = safe + 1 - s
     c = np.full_like(safe, 1e300)
     d = 1 / np.where(b == 0, 1e-300, b)
@@ -88,6 +92,8 @@ def chi2_sf(q, df):
         c = b + an / c
         c = np.where(np.abs(c) < 1e-300, 1e-300, c)
         h = h * d * c
+        if np.all(np.abs(d * c - 1) < 1e-15):
+            break
     upper = np.where(safe < s + 1, 1 - front * series, front * h)
     return np.where(x > 0, upper, 1.0)
 

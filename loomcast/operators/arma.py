@@ -327,6 +327,7 @@ def in_sample_predict(
     keys: Sequence[str],
     pos: str,
     dynamic_last: int = 260,
+    reach: int = 104,
     size: int | None = None,
 ) -> DataFrame:
     """(keys, pos, j, actual, mean, lower, upper): one step ahead, dynamic over the last rows.
@@ -336,10 +337,18 @@ def in_sample_predict(
     lags before it are gathered per series.
     """
     keys = list(keys)
-    number = lambda t, kind: F.try_to_number(
-        F.regexp_extract(t, rf"^{kind}_(\d+)$", 1), F.lit("999999")
-    ).cast("int")
+
+    def number(term, kind: str):
+        digits = F.regexp_extract(term, rf"^{kind}_(\d+)$", 1)
+        return F.try_to_number(digits, F.lit("999999")).cast("int")
+
     paired = F.arrays_zip("terms", "coef")
+    longest = F.array_max(
+        F.transform("terms", lambda t: F.coalesce(number(t, "ar"), number(t, "ma"), F.lit(0)))
+    )
+    checked = F.when(longest <= reach, F.col("coef")).otherwise(
+        F.raise_error(F.lit(f"an order reaches further back than {reach} rows")).cast("array<double>")
+    )
 
     def part(kind: str):
         chosen = F.filter(paired, lambda t: number(t["terms"], kind).isNotNull())
@@ -350,13 +359,12 @@ def in_sample_predict(
     model = specs.where(F.col("coef").isNotNull()).select(
         *keys,
         "terms",
-        "coef",
+        checked.alias("coef"),
         F.col("rss").alias("_rss"),
         F.col("n").alias("_fit_n"),
         part("ar").alias("_arp"),
         part("ma").alias("_map"),
     )
-    reach = 104
     cut = Cut(shocks.select(*keys, pos, "j", "n", "mean", "sd", "z", "e"), keys, "j", before=reach, size=size)
     back = cut.window.rowsBetween(-reach, -1)
     rows = cut.own(

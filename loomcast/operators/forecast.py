@@ -11,6 +11,7 @@ from loomcast.functions.blocks import position, with_totals
 from loomcast.operators.arma import arma_forecast, arma_grid, innovations
 from loomcast.operators.decompose import additive_adjust, stl
 from loomcast.operators.windows import clip_negative, round_forecast
+from loomcast.session import settle
 
 
 def seasonal_parts(
@@ -42,7 +43,8 @@ def seasonal_arma_forecast(
 ) -> DataFrame:
     """(keys, step, mean, lower, upper): robust decomposition, ARMA on the rest, last season added back."""
     keys = list(keys)
-    parts = seasonal_parts(df, keys, pos, value, period)
+    # the decomposition is the dear step and is read several times below
+    parts = settle(seasonal_parts(df, keys, pos, value, period))
     shocks = innovations(parts, keys, pos, "adjusted")
     fits = arma_grid(shocks, keys, [order[0]], [order[1]])
     ahead = arma_forecast(shocks, fits.where(F.col("coef").isNotNull()), keys, horizon)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.blocks import position, with_totals
 from loomcast.functions.gram import dot, row_gram, square
 from loomcast.functions.grouped import per_group
+from loomcast.session import settle
 
 # The penalty grids to search.
 LASSO_ALPHAS = (1e-8, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0, 10.0)
@@ -95,8 +96,8 @@ def penalised_path(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with fold parts, coefficient table) for every fold and penalty.
 
-    The table has (keys, fold, alpha, intercept, coef), fold -1 being the fit on
-    all rows.  A train matrix is the total less its test part, or the sum of the
+    The table has (keys, fold, alpha, intercept, coef, std_coef, unit), fold -1 being
+    the fit on all rows.  A train matrix is the total less its test part, or the sum of the
     parts before it, so one pass over the rows serves all folds and penalties.
     Features are standardised on the train part (on all rows with ``leaky``).
     """
@@ -121,9 +122,9 @@ def penalised_path(
         part(F.col("_j"), F.col("_rows"), folds).alias("_part"),
         F.lit(1.0).alias("_one"),
         *[e.alias(name) for name, e in scaled.items()],
-        F.coalesce(F.col(f"_s_{target}"), F.lit(1.0)).alias("_ys"),
+        F.when(F.col(f"_s_{target}") > 0, F.col(f"_s_{target}")).otherwise(F.lit(1.0)).alias("_ys"),
     )
-    grams = row_gram(rows, keys, "_part", ["_one", *names], "_j")
+    grams = row_gram(rows, [*keys, "_ys"], "_part", ["_one", *names], "_j")
     p = len(features)
 
     def paths(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -137,7 +138,8 @@ def penalised_path(
             elif f in parts:
                 train[f] = total - parts[f]
         out = []
-        _, shared, spread = _moments(total)
+        unit = float(pdf["_ys"].iloc[0])
+        spread = _moments(total)[2]
         for f, gram in train.items():
             if gram is None or gram[0, 0] < 2:
                 continue
@@ -150,7 +152,7 @@ def penalised_path(
             for alpha in sorted(alphas, reverse=True):
                 if kind == "lasso":
                     # the target is in units of its deviation, so is the penalty
-                    w = _lasso(x, c, alpha / unit(pdf), w)
+                    w = _lasso(x, c, alpha / unit, w)
                 else:
                     w = np.linalg.solve(x + alpha / n * np.eye(p), c)
                 coef = w / scale
@@ -160,26 +162,22 @@ def penalised_path(
                         "alpha": alpha,
                         "intercept": means[p] - coef @ means[:p],
                         "coef": coef.tolist(),
-                        "std_coef": w.tolist(),
+                        "std_coef": (w * unit).tolist(),
+                        "unit": unit,
                     }
                 )
-        return pd.DataFrame(out, columns=["fold", "alpha", "intercept", "coef", "std_coef"]).astype(
-            {"fold": "int32"}
-        )
-
-    def unit(pdf: pd.DataFrame) -> float:
-        value = float(pdf["_ys"].iloc[0])
-        return value if value > 0 else 1.0
+        names = ["fold", "alpha", "intercept", "coef", "std_coef", "unit"]
+        return pd.DataFrame(out, columns=names).astype({"fold": "int32"})
 
-    units = rows.groupBy(*keys).agg(F.first("_ys").alias("_ys"))
     table = per_group(
-        grams.join(units, keys),
+        grams,
         keys,
         keys,
-        "fold int, alpha double, intercept double, coef array<double>, std_coef array<double>",
+        "fold int, alpha double, intercept double, coef array<double>, std_coef array<double>, unit double",
         paths,
     )
-    return rows, table
+    # few rows per key, but dear ones: written once, then read for folds and refit
+    return rows, settle(table)
 
 
 def penalised_cv(
@@ -207,14 +205,17 @@ def penalised_cv(
     fits = (
         table.where(F.col("fold") >= 0)
         .groupBy(*keys, "fold")
-        .agg(F.collect_list(F.struct("alpha", "intercept", "coef")).alias("_fits"))
+        .agg(
+            F.first("unit").alias("_unit"),
+            F.collect_list(F.struct("alpha", "intercept", "coef")).alias("_fits"),
+        )
     )
     tested = rows.withColumn("fold", F.col("_part") - (1 if time_series else 0)).where("fold >= 0")
     x = F.array(*[F.col(f"_z{k}") for k in range(len(features))])
     y = F.col(f"_z{len(features)}")
 
     def loss(fit: Column) -> Column:
-        gap = (y - fit["intercept"] - dot(x, fit["coef"])) * F.col("_ys")
+        gap = (y - fit["intercept"] - dot(x, fit["coef"])) * F.col("_unit")
         return F.struct(
             fit["alpha"].alias("alpha"), (F.abs(gap) if scoring == "mae" else gap * gap).alias("loss")
         )
@@ -229,10 +230,8 @@ def penalised_cv(
     best = scores.groupBy(*keys).agg(
         F.min(F.struct("score", "alpha")).alias("_b")
     ).select(*keys, F.col("_b.alpha").alias("alpha"), F.col("_b.score").alias("score"))
-    units = rows.groupBy(*keys).agg(F.first("_ys").alias("_ys"))
-    whole = table.where("fold = -1").join(units, keys)
-    in_unit = F.transform("std_coef", lambda w: w * F.col("_ys"))
-    return best.join(whole, [*keys, "alpha"]).select(*keys, "alpha", "score", in_unit.alias("coef"))
+    whole = table.where("fold = -1").select(*keys, "alpha", F.col("std_coef").alias("coef"))
+    return best.join(whole, [*keys, "alpha"]).select(*keys, "alpha", "score", "coef")
 
 
 def selected_columns(

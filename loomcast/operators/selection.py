@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.functions.blocks import position, with_totals
-from loomcast.functions.gram import Summed, lags, lagged_fit, solve
+from loomcast.functions.gram import Summed, lags, lagged_fit, residual_sum
 from loomcast.functions.grouped import to_null
 from loomcast.functions.tails import f_sf
 
@@ -72,7 +72,7 @@ def granger(
         y, x = data.head["_y"], data.head["_x"]
         for lag in range(1, maxlag + 1):
             n = total - lag
-            f = p = np.nan
+            f = np.nan
             if n > 2 * lag + 1:
                 own = range(1, lag + 1)
                 other = range(maxlag + 1, maxlag + lag + 1)
@@ -85,14 +85,16 @@ def granger(
                     added = rows(y, x, lag, stop, lag)
                     part += added.T @ added
                 last = 2 * lag + 1
-                short = solve(part, range(lag + 1), last, n)
-                full = solve(part, range(last), last, n)
-                if short and full and full.rss > 0:
+                short = residual_sum(part, range(lag + 1), last)
+                full = residual_sum(part, range(last), last)
+                if full > 0:
                     free = n - 2 * lag - 1
-                    f = max((short.rss - full.rss) / lag / (full.rss / free), 0.0)
-                    p = float(f_sf(f, lag, free))
-            out.append({"lag": lag, "n": n, "f": f, "p_value": p})
-        return pd.DataFrame(out)
+                    f = max((short - full) / lag / (full / free), 0.0)
+            out.append({"lag": lag, "n": n, "f": f})
+        table = pd.DataFrame(out)
+        free = np.maximum(table["n"] - 2 * table["lag"] - 1, 1)
+        p = f_sf(table["f"].fillna(0.0), table["lag"], free)
+        return table.assign(p_value=np.where(table["f"].isna(), np.nan, p))
 
     found = lagged_fit(
         ready,

@@ -85,8 +85,10 @@ def prepare_panel(
     by_variable = [*keys, "variable"]
     long = to_long(imputed, [*keys, "i"], features)
     periods = spectral_peaks(power_spectrum(long, by_variable, "i", "value"), by_variable)
-    level = deseasonalize(long, by_variable, "i", "value", periods)
+    periods = settle(periods)
+    level = settle(deseasonalize(long, by_variable, "i", "value", periods))
     detrended, trends = detrend_mk(level, by_variable, "i", "adjusted")
+    detrended = settle(detrended)
     changed, tests = difference_until_stationary(detrended, by_variable, "i", "detrended")
     wide = to_matrix(changed, [*keys, "i"], "variable", "stationary", features)
     panel = imputed.select(*rest, "i").join(wide, [*keys, "i"])
