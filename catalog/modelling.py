@@ -17,6 +17,7 @@ from loomcast.operators import stationarity as U
 from loomcast.plans.boosting import train_lag_forest
 from loomcast.plans.forecasting import Setting, forecast_panel, order_search
 from loomcast.plans.prepare import prepare_panel
+from loomcast.session import settle
 
 SMALL_FOREST = {"numTrees": [10], "maxDepth": [4], "minInstancesPerNode": [5]}
 
@@ -231,7 +232,7 @@ def _(spark, sf):
 
 @query("in_sample_predict")
 def _(spark, sf):
-    shocks = _shocks(spark, sf)
+    shocks = settle(_shocks(spark, sf))
     fits = A.arma_grid(shocks, ["k"], [3], [1])
     found = A.in_sample_predict(shocks, fits, ["k"], "i", 100)
     return rounded(found, 3, "actual", "mean", "lower", "upper")
@@ -309,7 +310,7 @@ def _(spark, sf):
 
 @query("compare_forecasts")
 def _(spark, sf):
-    train, test = C.holdout_frame(weekly(spark, sf), ["k"], "i", "y", 0.8)
+    train, test = C.holdout_frame(settle(weekly(spark, sf)), ["k"], "i", "y", 0.8)
     truth = test.select("k", "step", "y")
     horizon = truth.groupBy("k").agg(F.max("step").alias("horizon"))
     shocks = A.innovations(train, ["k"], "i", "y")
