@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.blocks import BOUND, known_bound, position, with_totals
 from loomcast.functions.gram import Summed, dot, lags, lagged_fit, row_gram, solve, square
 from loomcast.functions.grouped import per_group
+from loomcast.session import settle
 from loomcast.operators.arma import Z95, continue_series, shock_weights
 
 # The seasonality choices to compare.
@@ -146,7 +147,8 @@ def harmonic_forecast(
     if bound is not None:
         local = local.withMetadata("_at", {BOUND: bound})
     by_span = [*keys, "span"]
-    fits = harmonic_fit(local, by_span, "_j", value, period_sets, harmonics)
+    # one row per series, span and set, read several times below: written once
+    fits = settle(harmonic_fit(local, by_span, "_j", value, period_sets, harmonics))
     waves = _waves(sorted({p for s in period_sets.values() for p in s}), harmonics)
     columns = F.array(F.lit(1.0), *_wave_columns(F.col("_j"), waves))
     per_set = [*by_span, "set"]
@@ -167,9 +169,10 @@ def harmonic_forecast(
             row.update(phi=found.coef.tolist(), rss=found.rss)
         return pd.DataFrame([row])
 
-    models = lagged_fit(
+    residual_fits = lagged_fit(
         errors, per_set, "_at", ["_r"], ar, design, fit, "phi array<double>, rss double, used bigint"
-    ).join(fits.select(*per_set, "coef"), per_set)
+    )
+    models = settle(residual_fits.join(fits.select(*per_set, "coef"), per_set))
     free = F.aggregate("coef", F.lit(0), lambda a, c: a + F.when(c != 0, 1).otherwise(0))
     aic = F.col("used") * F.log(F.col("rss") / F.col("used")) + 2 * (free + ar + 1)
     scored = models.where(F.col("phi").isNotNull()).withColumn("aic", aic)
