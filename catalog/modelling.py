@@ -110,6 +110,17 @@ def _(spark, sf):
     return rounded(found, 6, "coef")
 
 
+@query(
+    "lasso_one_feature",
+    # one standardised feature: the covariance, moved towards zero by the penalty
+    f"WITH {PANEL}, g AS (SELECT k, covar_pop(price, qty) / stddev_pop(qty) AS c FROM p GROUP BY k) "
+    "SELECT k, 'qty' AS feature, round(sign(c) * (abs(c) - 0.01), 6) AS coef FROM g WHERE abs(c) > 0.01",
+)
+def _(spark, sf):
+    found = L.lasso_select(panel(spark, sf), ["k"], "i", "price", ["qty"], alphas=[0.01])
+    return rounded(found, 6, "coef")
+
+
 @query("lasso_cv")
 def _(spark, sf):
     fits = L.penalised_cv(panel(spark, sf), ["k"], "i", FEATURES, "cases")
@@ -230,6 +241,39 @@ def _(spark, sf):
     return rounded(A.arma_forecast(shocks, fits, ["k"], 52), 3, "mean", "lower", "upper")
 
 
+# a first-order fit on the common sample, as two numbers per series
+_AR1 = f"""{WEEKLY}, z AS (SELECT k, i, avg(y) OVER w AS m, stddev_pop(y) OVER w AS sd, (y - avg(y) OVER w) / stddev_pop(y) OVER w AS z,
+  count(*) OVER w AS n FROM s WINDOW w AS (PARTITION BY k)),
+l AS (SELECT *, lag(z) OVER (PARTITION BY k ORDER BY i) AS x FROM z),
+g AS (SELECT k, regr_slope(z, x) AS b, regr_intercept(z, x) AS c FROM l WHERE i >= ceil(10 * log10(n)) + 1 GROUP BY k)"""
+
+
+@query(
+    "arma_forecast_ar1",
+    f"WITH {_AR1}, e AS (SELECT k, m, sd, z, b, c FROM z JOIN g USING (k) WHERE i = n - 1) "
+    "SELECT k, h::INTEGER AS step, round(m + sd * (c * (1 - b ** h) / (1 - b) + b ** h * z), 2) AS mean "
+    "FROM e, (SELECT unnest(generate_series(1, 30)) AS h)",
+)
+def _(spark, sf):
+    shocks = _shocks(spark, sf)
+    fits = A.arma_grid(shocks, ["k"], [1], [0])
+    return rounded(A.arma_forecast(shocks, fits, ["k"], 30).select("k", "step", "mean"), 2, "mean")
+
+
+@query(
+    "in_sample_predict_ar1",
+    f"WITH {_AR1}, a AS (SELECT z.*, b, c, lag(z) OVER (PARTITION BY k ORDER BY i) AS x FROM z JOIN g USING (k)), "
+    "o AS (SELECT k, z AS last FROM a WHERE i = n - 101) "
+    "SELECT k, i, round(m + sd * CASE WHEN i < n - 100 THEN c + b * coalesce(x, 0) "
+    "ELSE c * (1 - b ** (i - n + 101)) / (1 - b) + b ** (i - n + 101) * last END, 2) AS mean FROM a JOIN o USING (k)",
+)
+def _(spark, sf):
+    shocks = settle(_shocks(spark, sf))
+    fits = A.arma_grid(shocks, ["k"], [1], [0])
+    found = A.in_sample_predict(shocks, fits, ["k"], "i", 100)
+    return rounded(found.select("k", "i", "mean"), 2, "mean")
+
+
 @query("in_sample_predict")
 def _(spark, sf):
     shocks = settle(_shocks(spark, sf))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = 65_536
-MAX_POINTS = 1_000_000
+MAX_POINTS = 4_000_000  # more than a date order can ever hold
 BLK = "_blk"
 BOUND = "series_bound"
 DAYS_IN_DATE_TYPE = 3_652_059

@@ -34,7 +34,7 @@ def ks_two_sample(
     )
     sizes = counts.groupBy(*keys).agg(F.sum("a").alias("n1"), F.sum("b").alias("n2"))
     running = running_totals(counts, keys, value, ["a", "b"], splits)
-    joined = running.join(sizes, keys) if keys else running.join(F.broadcast(sizes))
+    joined = running.join(sizes, keys)
     gap = F.abs(
         (F.col("a_below") + F.col("a")) / F.nullif(F.col("n1"), F.lit(0))
         - (F.col("b_below") + F.col("b")) / F.nullif(F.col("n2"), F.lit(0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
@@ -10,9 +10,11 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcast.operators.impute import choose_imputer, impute_chosen, score_imputers
 from loomcast.operators.profile import apply_scaler, fit_scaler
 from loomcast.operators.regression import kfold_contiguous, time_series_folds
 from loomcast.session import settle
@@ -47,7 +49,7 @@ def expand_grid(grid: dict[str, Sequence]) -> list[dict]:
 
 
 def grid_train(
-    make: type[Estimator] | callable,
+    make: Callable[..., Estimator],
     grid: dict[str, Sequence],
     df: DataFrame,
     features: Sequence[str],
@@ -117,6 +119,17 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_or_train(spark: SparkSession, path: str, train: Callable[[], Model]) -> Model:
+    """The saved model if there is one at ``path``, else a new one, saved there."""
+    try:
+        spark.read.text(f"{path}/metadata").limit(1).count()
+    except AnalysisException:
+        model = train()
+        save_model(model, path)
+        return model
+    return load_model(path)
+
+
 def impute_by_model(
     df: DataFrame,
     keys: Sequence[str],
@@ -175,8 +188,6 @@ def impute_difficult(
     The model competes with the window methods on unrounded scores.  Returns the
     filled rows and the score table.
     """
-    from loomcast.operators.impute import choose_imputer, impute_chosen, score_imputers
-
     keys = list(keys)
     predicted, score, _ = impute_by_model(df, keys, pos, target, easy, grid, folds=folds)
     scores = score_imputers(df, keys, pos, target, n, seed).unionByName(score)

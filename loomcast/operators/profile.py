@@ -14,13 +14,16 @@ from loomcast.functions.blocks import quantiles, value_counts
 def missing_profile(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Percent missing per column (and per key): one aggregation, then one row per column."""
+    """Percent missing per column (and per key): one aggregation, then one row per column.
+
+    The overall profile comes sorted, most missing first; one per key is not, as a
+    global sort of it would only cost a shuffle.
+    """
     wide = df.groupBy(*keys).agg(
         *[(F.count_if(F.col(c).isNull()) * 100.0 / F.count(F.lit(1))).alias(c) for c in cols]
     )
-    return wide.unpivot(list(keys), list(cols), "variable", "pct_missing").orderBy(
-        F.desc("pct_missing"), "variable"
-    )
+    long = wide.unpivot(list(keys), list(cols), "variable", "pct_missing")
+    return long if keys else long.orderBy(F.desc("pct_missing"), "variable")
 
 
 def split_easy_difficult(profile: DataFrame, threshold: float = 1.0) -> DataFrame:

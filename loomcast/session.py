@@ -48,12 +48,14 @@ def ship_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests) a scratch folder is set instead.
+    Only a local session that names none (tests) gets a scratch folder instead.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="loomcast-ckpt-")
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="loomcast-ckpt-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
