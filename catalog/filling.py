@@ -8,6 +8,7 @@ from catalog.frames import FEATURES, GAPPY, HOURLY, WEEKLY, gappy_panel, hourly,
 from catalog.registry import query
 from loomcast.operators import impute as I
 from loomcast.operators.reshape import to_long
+from loomcast.session import settle
 
 # known hours re-indexed, the 50 lowest hashes blanked
 _MASK = """kn AS (SELECT k, v, CAST(row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS BIGINT) AS j FROM e WHERE v IS NOT NULL),
@@ -86,7 +87,7 @@ li AS (SELECT *, CASE WHEN v IS NOT NULL THEN v WHEN pi IS NULL THEN NULL WHEN n
     "ELSE knn END, linear, pv, nv), 8) AS filled FROM li JOIN ch USING (k)",
 )
 def _(spark, sf):
-    frame = hourly(spark, sf)
+    frame = settle(hourly(spark, sf))
     choice = I.choose_imputer(I.score_imputers(frame, ["k"], "i", "v", cubic=False), ["k"])
     filled = I.impute_chosen(frame, ["k"], "i", "v", choice)
     return rounded(filled.select("k", "h", "method", "filled"), 8, "filled")

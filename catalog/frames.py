@@ -5,7 +5,7 @@ Sums and means are rounded so that both engines start from equal doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomcast.operators.reshape import series_index
@@ -127,12 +127,18 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.round(F.avg("value"), 10).alias("v"), F.count(F.lit(1)).cast("double").alias("n"))
     )
-    spine = (
-        seen.groupBy("k")
-        .agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
-        .select("k", F.explode(F.sequence("lo", "hi")).alias("h"))
+    # each hour seen also stands for the empty hours up to the next one: one pass, no spine join
+    upcoming = F.lead("h").over(Window.partitionBy("k").orderBy("h"))
+    slots = seen.withColumn("next", upcoming).withColumn(
+        "slot", F.explode(F.sequence("h", F.coalesce(F.col("next") - 1, "h")))
+    )
+    here = F.col("slot") == F.col("h")
+    full = slots.select(
+        "k",
+        F.col("slot").alias("h"),
+        F.when(here, F.col("v")).alias("v"),
+        F.when(here, F.col("n")).otherwise(F.lit(0.0)).alias("n"),
     )
-    full = spine.join(seen, ["k", "h"], "left").withColumn("n", F.coalesce("n", F.lit(0.0)))
     return series_index(full, ["k"], "h", span=(0, 1_000_000))
 
 

@@ -197,7 +197,7 @@ def running_totals(
     totals: Sequence[str],
     splits: Sequence[float] = (),
 ) -> DataFrame:
-    """Add ``{c}_below``, the exclusive running sum of each count column in ``order``.
+    """Add ``{c}_below``, the exclusive running sum of each count column, and ``{c}_total``.
 
     ``df`` has one row per (key, order value).  With ``splits`` the order is cut
     into blocks; block sums are carried over in a small second step.
@@ -216,10 +216,13 @@ def running_totals(
         F.coalesce(F.sum(c).over(inside), F.lit(0)).cast("long").alias(f"{c}_below")
         for c in totals
     ]
-    local = cut.select("*", *below)
     if not splits:
-        return local.drop(BLK)
+        span = Window.partitionBy(*keys, BLK)
+        whole = [F.sum(c).over(span).alias(f"{c}_total") for c in totals]
+        return cut.select("*", *below, *whole).drop(BLK)
+    local = cut.select("*", *below)
     across = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    span = Window.partitionBy(*keys)
     carry = (
         cut.groupBy(*keys, BLK)
         .agg(*[F.sum(c).alias(c) for c in totals])
@@ -227,19 +230,21 @@ def running_totals(
             *keys,
             BLK,
             *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"_c_{c}") for c in totals],
+            *[F.sum(c).over(span).alias(f"{c}_total") for c in totals],
         )
     )
     plain = [c for c in local.columns if c not in {f"{t}_below" for t in totals} | {BLK}]
     return local.join(carry, [*keys, BLK]).select(
         *plain,
         *[(F.col(f"{c}_below") + F.col(f"_c_{c}")).cast("long").alias(f"{c}_below") for c in totals],
+        *[f"{c}_total" for c in totals],
     )
 
 
 def value_counts(
     df: DataFrame, keys: Sequence[str], value: str, max_rows: int = 4_000_000
 ) -> DataFrame:
-    """(keys, value, n, n_below): each distinct value, its count and the count below it."""
+    """(keys, value, n, n_below, n_total): each distinct value, its count, those below, and all."""
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
     splits = value_splits(known, value, max_rows)
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
@@ -251,9 +256,8 @@ def order_statistics(
 ) -> DataFrame:
     """Values at 0-based ``ranks`` (columns of the key's total ``_total``), one row per key."""
     keys = list(keys)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
     return (
-        counts.join(totals, keys)
+        counts.withColumnRenamed("n_total", "_total")
         .groupBy(*keys)
         .agg(
             F.first("_total").alias("_total"),

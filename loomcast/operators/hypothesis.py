@@ -32,14 +32,16 @@ def ks_two_sample(
     counts = sample.groupBy(*keys, value).agg(
         F.count_if(F.col(group) == first).alias("a"), F.count_if(F.col(group) == second).alias("b")
     )
-    sizes = counts.groupBy(*keys).agg(F.sum("a").alias("n1"), F.sum("b").alias("n2"))
-    running = running_totals(counts, keys, value, ["a", "b"], splits)
-    joined = running.join(sizes, keys)
+    running = (
+        running_totals(counts, keys, value, ["a", "b"], splits)
+        .withColumnRenamed("a_total", "n1")
+        .withColumnRenamed("b_total", "n2")
+    )
     gap = F.abs(
         (F.col("a_below") + F.col("a")) / F.nullif(F.col("n1"), F.lit(0))
         - (F.col("b_below") + F.col("b")) / F.nullif(F.col("n2"), F.lit(0))
     )
-    found = joined.groupBy(*keys, "n1", "n2").agg(F.max(gap).alias("statistic"))
+    found = running.groupBy(*keys, "n1", "n2").agg(F.max(gap).alias("statistic"))
     size = F.col("n1") * F.col("n2") / F.nullif(F.col("n1") + F.col("n2"), F.lit(0))
     reach = F.col("statistic") * F.sqrt(size)
     terms = F.transform(
@@ -104,7 +106,6 @@ def quantile_pairs(
     sample = df.where(F.col(value).isNotNull()).select(*keys, value)
     splits = value_splits(sample, value, max_rows)
     counts = sample.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    ranked = running_totals(counts, keys, value, ["n"], splits).join(totals, keys)
-    place = (F.col("n_below") + F.col("n")) / (F.col("_total") + 1)
+    ranked = running_totals(counts, keys, value, ["n"], splits)
+    place = (F.col("n_below") + F.col("n")) / (F.col("n_total") + 1)
     return ranked.select(*keys, value, "n", normal_score(place).alias("theory"))

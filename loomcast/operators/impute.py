@@ -20,6 +20,7 @@ from loomcast.functions.curves import spline_moments
 from loomcast.functions.grouped import per_group, to_null
 from loomcast.operators.profile import nrmse_expression
 from loomcast.operators.windows import fill_candidates, linear_value, neighbours
+from loomcast.session import settle
 
 METHODS = ("ffill", "bfill", "linear", "cubic", "knn", "model")
 _KNOT_BLOCK, _KNOT_HALO = 2_048, 64
@@ -242,7 +243,12 @@ def impute_chosen(
 def impute_easy(
     df: DataFrame, keys: Sequence[str], pos: str, value: str, n: int = 50, seed: int = 42
 ) -> DataFrame:
-    """Score, choose and fill in one lazy plan."""
+    """Score, choose and fill.
+
+    Scoring and filling both read the series, so it is written once; what built it
+    from raw rows does not run twice.
+    """
+    df = settle(df)
     choice = choose_imputer(score_imputers(df, keys, pos, value, n, seed), keys)
     return impute_chosen(df, keys, pos, value, choice)
 

@@ -207,10 +207,8 @@ def ecdf(df: DataFrame, keys: Sequence[str], col: str, max_rows: int = 4_000_000
     Equal observations share one step, whose height is that of the last of them.
     """
     counts = value_counts(df, keys, col, max_rows)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    return counts.join(totals, list(keys)).select(
-        *keys, col, "n", ((F.col("n_below") + F.col("n")) / F.col("_total")).alias("share")
-    )
+    share = (F.col("n_below") + F.col("n")) / F.col("n_total")
+    return counts.select(*keys, col, "n", share.alias("share"))
 
 
 def histogram(df: DataFrame, keys: Sequence[str], col: str, bins: int = 10) -> DataFrame:
