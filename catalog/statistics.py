@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.frames import DAILY, HOURLY, PANEL, WEEKLY, daily, hourly, panel, rounded, table, weekly
+from catalog.frames import DAILY, HOURLY, WEEKLY, daily, hourly, rounded, table, weekly
 from catalog.registry import query
 from loomcast.operators import decompose as D
 from loomcast.operators import hypothesis as H

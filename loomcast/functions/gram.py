@@ -20,6 +20,7 @@ from loomcast.functions.grouped import per_group
 
 CHUNK = 65_536
 NARROW = 20
+CHUNK_VALUES = 4_000_000
 LAGGED = (100,)  # specs whose matrix is Z(t)'Z(t-1), not symmetric
 Values = dict[str, np.ndarray]
 Design = Callable[[Values, int, int, int, int], dict[int, np.ndarray]]
@@ -211,10 +212,11 @@ def row_gram(
         return wide.select(*keys, part, F.explode(F.array(*rows)).alias("_g")).select(
             *keys, part, "_g.*"
         )
+    rows = max(1024, CHUNK_VALUES // len(columns))
     packed = df.select(
         *keys,
         part,
-        F.floor(F.col(pos) / F.lit(CHUNK)).alias(BLK),
+        F.floor(F.col(pos) / F.lit(rows)).alias(BLK),
         F.array(*columns).alias("_z"),
     )
 

@@ -14,9 +14,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcast.functions.blocks import position
 from loomcast.operators.impute import choose_imputer, impute_chosen, score_imputers
 from loomcast.operators.profile import apply_scaler, fit_scaler
-from loomcast.operators.regression import kfold_contiguous, time_series_folds
+from loomcast.operators.regression import kfold_contiguous, time_segments
 from loomcast.session import settle
 
 SEED = 28
@@ -68,17 +69,16 @@ def grid_train(
     Every fit is a Spark job over all rows of its fold; settings × folds are the
     only things the driver loops over.  Scaling is fitted on the train rows.
     """
-    used = df.select(*keys, pos, *features, target).na.drop()
-    if time_series:
-        parts = settle(time_series_folds(used, keys, pos, folds))
-    else:
-        parts = settle(kfold_contiguous(used, keys, pos, folds))
+    used = position(df.select(*keys, pos, *features, target).na.drop(), keys, pos, "_j")
+    # tagged once and written once: every fit below reads it
+    tag = time_segments if time_series else kfold_contiguous
+    parts = settle(tag(used, keys, "_j", folds, "_part"))
 
     def split(fold: int) -> tuple[DataFrame, DataFrame]:
+        part = F.col("_part")
         if time_series:
-            one = parts.where(F.col("fold") == fold)
-            return one.where("role = 'train'"), one.where("role = 'test'")
-        return parts.where(F.col("fold") != fold), parts.where(F.col("fold") == fold)
+            return parts.where(part <= fold), parts.where(part == fold + 1)
+        return parts.where(part != fold), parts.where(part == fold)
 
     evaluator = RegressionEvaluator(labelCol=target, metricName=METRICS[scoring])
 
@@ -102,10 +102,9 @@ def grid_train(
         sum(v for (s, _), v in zip(jobs, values) if s == k) / folds for k in range(len(settings))
     ]
     best = max(range(len(settings)), key=lambda k: means[k])
-    everything = used if time_series else parts
     return {
         "scores": [means[best]],
-        "model": stages(settings[best]).fit(everything),
+        "model": stages(settings[best]).fit(parts),
         "params": settings[best],
         "table": list(zip(settings, means)),
     }

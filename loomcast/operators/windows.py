@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.blocks import BLK, Cut, block_of, order_statistics, value_counts
 
-FILLS = ("ffill", "bfill", "linear", "knn")
-
 
 def neighbours(
     df: DataFrame, keys: Sequence[str], pos: str, value: str, n: int = 0, size: int | None = None

@@ -278,6 +278,8 @@ def test_folds(spark):
     df = spark.createDataFrame([("a", i) for i in range(13)], "k string, i long")
     folds = [r.fold for r in regression.kfold_contiguous(df, ["k"], "i").orderBy("i").collect()]
     assert folds == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3, 3, 4, 4]
+    segments = [r.segment for r in regression.time_segments(df, ["k"], "i").orderBy("i").collect()]
+    assert segments == [0, 0, 0, 1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
     split = table_of(regression.time_series_folds(df, ["k"], "i"), "fold", "i")
     for f in range(5):
         part = split[split.fold == f]

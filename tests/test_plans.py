@@ -105,5 +105,22 @@ def test_lag_forest(spark, raw, tmp_path):
     assert scored.where("prediction is null").count() == 0
 
 
+def test_saved_model_is_not_trained_again(spark, raw, tmp_path):
+    from loomcast.operators.models import forest, grid_train, load_or_train
+
+    rows = raw.na.drop(subset=[*COLUMNS, "total_cases"])
+    calls = []
+
+    def train():
+        calls.append(1)
+        cols = ["station_avg_temp_c", "station_precip_mm"]
+        return grid_train(forest, TINY, rows, cols, "total_cases", ["city"], "week_start_date", folds=2)["model"]
+
+    for _ in range(2):
+        model = load_or_train(spark, str(tmp_path / "cached"), train)
+        assert model.transform(rows).where("prediction is null").count() == 0
+    assert len(calls) == 1
+
+
 def test_grid_sizes():
     assert len(expand_grid(FOREST_GRID)) == 12
