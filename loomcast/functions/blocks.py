@@ -180,14 +180,16 @@ def bounded_position(pos: str, limit: int = MAX_POINTS) -> Column:
 def value_splits(df: DataFrame, value: str, max_rows: int) -> list[float]:
     """Quantiles of ``value`` such that no block holds many more than ``max_rows`` rows.
 
-    One count decides; a table within the bound needs no split.
+    One count decides; a table within the bound needs no split.  The number of
+    splits is bounded so that the quantile sketch each task sends stays small; past
+    that, blocks grow and their sort spills.
     """
     n = df.count()
     if n <= max_rows:
         return []
-    blocks = min(-(-2 * n // max_rows), 100_000)
+    blocks = min(-(-2 * n // max_rows), 10_000)
     probs = [k / blocks for k in range(1, blocks)]
-    return sorted(set(df.approxQuantile(value, probs, 0.25 / blocks)))
+    return sorted(set(df.approxQuantile(value, probs, 0.5 / blocks)))
 
 
 def running_totals(
