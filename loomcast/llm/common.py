@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def ascii_lower(text: Column) -> Column:
 def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``limit`` bytes of text, or one row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for row, size in enumerate(sizes):
             size = 0 if size != size or size is None else int(size)
