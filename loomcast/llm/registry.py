@@ -46,3 +46,13 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES["op4_toxicity"] = op4_toxicity
