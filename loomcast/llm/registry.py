@@ -56,3 +56,42 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_toxicity"] = op4_toxicity
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op10_near_dedup"] = op10_near_dedup
+ORACLES["op10_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE
+           WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3),
+                lambda k: array_to_string(words[k:k + 4], ' '))
+           WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END)) AS shingle
+  FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), both_sides AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM both_sides JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 85 * (na.n + nb.n - c)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
