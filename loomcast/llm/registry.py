@@ -95,3 +95,12 @@ SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS componen
        doc_id = min(other) AS kept
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.pii import find_personal_data
+
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_pii"] = op6_pii
