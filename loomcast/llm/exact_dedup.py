@@ -76,3 +76,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
         "text_sha256",
     )
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they were.
+
+    One row stays of each group of equal texts: one with the group's smallest id (or a
+    null id, where the group has no other).
+    """
+    stays = exact_duplicates(docs, id_col, text_col).filter("kept").select("doc_id", "text_sha256").distinct()
+    stays = stays.toDF("_id", "_sha")
+    own = docs.withColumn("_text_sha256", F.sha2(one_space(F.col(text_col)), 256))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_sha256") == F.col("_sha"))
+    return own.join(stays, same, "left_semi").dropDuplicates([id_col, "_text_sha256"]).drop("_text_sha256")

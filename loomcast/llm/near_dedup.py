@@ -288,3 +288,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     )
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component, all columns as they were."""
+    stays = near_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("_id")), "left_semi")

@@ -104,3 +104,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_pii"] = op6_pii
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
