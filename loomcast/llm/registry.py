@@ -113,3 +113,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["pipeline"] = pipeline
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.sentencepiece import encode_digests
+
+    return encode_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+QUERIES["op2_sentencepiece"] = op2_sentencepiece
