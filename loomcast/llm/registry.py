@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomcast.llm.common import table
 
@@ -122,3 +123,55 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_sentencepiece"] = op2_sentencepiece
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.lm import score_documents
+
+    scored = score_documents(table(spark, sf_dir, "documents"))
+    # sums of doubles depend on their order in the last digits
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+
+
+def _crc_table() -> str:
+    """The 256 steps of the crc32 of one byte, as an SQL list."""
+    steps = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        steps.append(str(value))
+    return "[" + ", ".join(steps) + "]"
+
+
+QUERIES["op5_lm_scoring"] = op5_lm_scoring
+ORACLES["op5_lm_scoring"] = rf"""
+WITH t AS (
+  SELECT doc_id, list_append(list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> ''), chr(10)) AS w,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, b: xor(crc >> 8, ({_crc_table()}::BIGINT[])[1 + (xor(crc, b) & 255)]))) % 10 = 0 AS held_out
+  FROM documents
+), u AS (
+  SELECT doc_id, held_out, unnest(w) AS word, unnest(list_prepend('', w[:-2])) AS state FROM t
+), c AS (
+  SELECT word, count(*) AS c FROM u WHERE NOT held_out GROUP BY word
+), p AS (
+  SELECT state, word, count(*) AS c FROM u WHERE NOT held_out GROUP BY state, word
+), n AS (
+  SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c
+), h AS (
+  SELECT word AS state, c FROM c UNION ALL SELECT '', count(*) FROM t WHERE NOT held_out
+), s AS (
+  SELECT u.doc_id, u.held_out, c.c IS NOT NULL AS known,
+         (coalesce(c.c, 0) + 0.1::DOUBLE) / (n.n + 0.1::DOUBLE * (n.v + 1)) AS unigram,
+         coalesce(p.c, 0) AS arc, coalesce(h.c, 0) AS history, n.n
+  FROM u CROSS JOIN n LEFT JOIN c ON c.word = u.word
+  LEFT JOIN p ON p.state = u.state AND p.word = u.word LEFT JOIN h ON h.state = u.state
+)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (WHERE known) AS n_known,
+       any_value(n) AS train_tokens, round(sum(log10(unigram)), 6) AS base_score,
+       round(sum(log10((arc + 200 * unigram) / (history + 200))), 6) AS score
+FROM s GROUP BY doc_id, held_out
+"""
