@@ -175,3 +175,26 @@ SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (WHERE known) AS
        round(sum(log10((arc + 200 * unigram) / (history + 200))), 6) AS score
 FROM s GROUP BY doc_id, held_out
 """
+
+
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.topk import top_products
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_products(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+QUERIES["op1_topk"] = op1_topk
+ORACLES["op1_topk"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
