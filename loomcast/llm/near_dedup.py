@@ -6,9 +6,10 @@ leading zeros and the mantissa bits after them. Texts whose registers agree on a
 are candidates, the Jaccard estimate from the registers, corrected for registers that
 agree by chance, drops the far ones, and full sets decide the rest.
 
-A band's group is never turned into all its pairs. Its members are split by the
-component they already belong to; each round links every foreign component to a few
-members only, and rounds go on until no pair across two components is left to check.
+A band's group is never turned into all its pairs. Hub rounds link its members to one
+of them each; what then lies outside the group's largest component is compared with the
+others block by block, by sketch, and the pairs that remain are checked in rounds until
+none is left across two components.
 """
 
 from __future__ import annotations
@@ -41,8 +42,10 @@ LEAST_FILLED = 32
 
 SKETCHES = "doc_id long, n_shingles long, fingerprint binary, registers binary"
 #: Hub rounds before the members of a group are compared in blocks.
-HUB_ROUNDS = 4
-#: Foreign components that one member is checked against in the first block round; the
+HUB_ROUNDS = 3
+#: Rows of blocks that one call compares.
+TASK_ROWS = 20_000
+#: Pairs of one member that are checked in the first round after the block comparison; the
 #: number grows fourfold each round.
 FIRST_CHECKS = 4
 
@@ -68,22 +71,32 @@ def level_shares(sizes: np.ndarray) -> np.ndarray:
     return np.exp(-load * (high / 2)) - np.exp(-load * high)
 
 
-def worth_checking(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
-    """Jaccard estimates of sketch pairs (rows of ``left`` and ``right``); -1 where a pair can be dropped.
+def judged(match: np.ndarray, filled: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
+    """Jaccard estimates from counts of equal and of filled registers; -1 where a pair can be dropped.
 
     Matches expected by chance, which grow as mantissas are short, are taken off first.
     A pair is dropped if the limit lies ``SLACK`` deviations above its estimate, or if
     the set sizes alone rule the link out.
     """
-    filled = ((left != EMPTY) | (right != EMPTY)).sum(axis=1)
-    match = ((left == right) & (left != EMPTY)).sum(axis=1)
-    chance = REGISTERS * (level_shares(n_left) * level_shares(n_right)).sum(axis=1) / (1 << MANTISSA)
-    estimate = np.maximum(match - chance, 0) / np.maximum(filled, 1)
     limit = LINK_ABOVE / LINK_BELOW
     floor = limit - SLACK * np.sqrt(limit * (1 - limit) / np.maximum(filled, 1))
-    near = (estimate >= floor) | (filled < LEAST_FILLED)
     fits = LINK_BELOW * np.minimum(n_left, n_right) >= LINK_ABOVE * np.maximum(n_left, n_right)
-    return np.where(near & fits, estimate, -1.0)
+    out = np.full(len(match), -1.0)
+    # what chance can only lower is decided first
+    open_ = np.flatnonzero(fits & ((match >= floor * filled) | (filled < LEAST_FILLED)))
+    if len(open_):
+        chance = (level_shares(n_left[open_]) * level_shares(n_right[open_])).sum(axis=1)
+        chance *= REGISTERS / (1 << MANTISSA)
+        estimate = np.maximum(match[open_] - chance, 0) / np.maximum(filled[open_], 1)
+        near = (estimate >= floor[open_]) | (filled[open_] < LEAST_FILLED)
+        out[open_[near]] = estimate[near]
+    return out
+
+
+def worth_checking(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
+    """``judged`` for sketch pairs (rows of ``left`` and ``right``)."""
+    there = left != EMPTY
+    return judged(((left == right) & there).sum(axis=1), (there | (right != EMPTY)).sum(axis=1), n_left, n_right)
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,26 +210,39 @@ def block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
         "rep", "root", "registers", "n_shingles",
     )
 
+    every = keep(targets.union(odd), "blocks")
+    tasks = F.lit(max(1, -(-every.count() // TASK_ROWS)))
+
     def compare(rows_of: pa.Table) -> pa.Table:
-        is_odd = rows_of.column("odd").combine_chunks().to_numpy(zero_copy_only=False)
-        rep = rows_of.column("rep").combine_chunks().to_numpy()
-        root = rows_of.column("root").combine_chunks().to_numpy()
-        size = rows_of.column("n_shingles").combine_chunks().to_numpy().astype(float)
+        rows_of = rows_of.sort_by([("band", "ascending"), ("block", "ascending"), ("odd", "ascending"), ("rep", "ascending")])
+        band, block, is_odd, rep, root, size = (
+            rows_of.column(c).combine_chunks().to_numpy(zero_copy_only=False)
+            for c in ("band", "block", "odd", "rep", "root", "n_shingles")
+        )
+        size = size.astype(float)
         codes = _matrix(rows_of.column("registers").combine_chunks())
-        near = np.flatnonzero(~is_odd)
+        there = codes != EMPTY
+        starts = np.flatnonzero((np.diff(band, prepend=band[0] - 1) != 0) | (np.diff(block, prepend=block[0] - 1) != 0))
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for k in np.flatnonzero(is_odd):
-            other = near[root[near] != root[k]]
-            if len(other):
-                estimate = worth_checking(codes[other], codes[k : k + 1], size[other], size[k : k + 1])
-                hit = estimate >= 0
-                found.append((np.full(hit.sum(), rep[k]), rep[other[hit]], estimate[hit]))
-        parts = [np.concatenate(c) if found else np.zeros(0) for c in (zip(*found) if found else ((), (), ()))]
+        for first, last in zip(starts, [*starts[1:], len(band)]):
+            middle = first + int(np.count_nonzero(~is_odd[first:last]))
+            for k in range(middle, last):
+                other = first + np.flatnonzero(root[first:middle] != root[k])
+                if len(other):
+                    match = ((codes[other] == codes[k]) & there[k]).sum(axis=1)
+                    filled = (there[other] | there[k]).sum(axis=1)
+                    estimate = judged(match, filled, size[other], np.full(len(other), size[k]))
+                    hit = estimate >= 0
+                    if hit.any():
+                        found.append((np.full(hit.sum(), rep[k]), rep[other[hit]], estimate[hit]))
+        x, y, estimate = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0),) * 3
         return pa.table(
-            {"x": pa.array(parts[0].astype(np.int64)), "y": pa.array(parts[1].astype(np.int64)), "estimate": pa.array(parts[2].astype(float))}
+            {"x": pa.array(x.astype(np.int64)), "y": pa.array(y.astype(np.int64)), "estimate": pa.array(estimate.astype(float))}
         )
 
-    pairs = targets.union(odd).groupBy("band", "block").applyInArrow(compare, "x long, y long, estimate double")
+    # many small blocks share a task's call
+    task = F.pmod(F.xxhash64("band", "block"), tasks).alias("task")
+    pairs = every.groupBy(task).applyInArrow(compare, "x long, y long, estimate double")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "estimate").distinct()
 
 
@@ -237,29 +263,41 @@ def class_roots(classes: DataFrame, docs: DataFrame) -> DataFrame:
     )
     roots = keep(classes.select("rep", F.col("rep").alias("root")), "roots")
     refused = classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
-    hubs, each = 0, FIRST_CHECKS
-    while True:
+    for round_no in range(HUB_ROUNDS):
         rows = keep(open_members(members, roots), "open")
-        if hubs < HUB_ROUNDS:
-            pairs = estimated(hub_pairs(rows, hubs).join(refused, ["a", "b"], "left_anti"), classes)
-            chosen = keep(_best(pairs, 1), "pairs")
-            hubs = hubs + 1
-            if chosen.isEmpty():
-                hubs = HUB_ROUNDS
-                continue
-        else:
-            pairs = block_pairs(rows, classes).join(refused, ["a", "b"], "left_anti")
-            chosen = keep(_best(pairs, each), "pairs")
-            each *= 4
-            if chosen.isEmpty():
-                return roots
-        checked = keep(linked(chosen, texts), "checked")
-        refused = keep(refused.union(checked.filter("not link").select("a", "b")), "refused")
-        links = checked.filter("link").select("a", "b")
-        ends = roots.select(F.col("rep").alias("a"), F.col("root").alias("ra"))
-        links = links.join(ends, "a").join(ends.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        moved = components(links).select(F.col("node").alias("root"), F.col("root").alias("to"))
-        roots = keep(roots.join(moved, "root", "left").select("rep", F.coalesce("to", "root").alias("root")), "roots")
+        pairs = estimated(hub_pairs(rows, round_no).join(refused, ["a", "b"], "left_anti"), classes)
+        chosen = keep(_best(pairs, 1), "pairs")
+        if chosen.isEmpty():
+            break
+        roots, refused = checked_and_joined(chosen, texts, roots, refused)
+    # all pairs that are left to check; components only grow, so none comes to this later
+    left = keep(block_pairs(keep(open_members(members, roots), "open"), classes), "left")
+    each = FIRST_CHECKS
+    while True:
+        chosen = keep(_best(across(left, roots).join(refused, ["a", "b"], "left_anti"), each), "pairs")
+        if chosen.isEmpty():
+            return roots
+        roots, refused = checked_and_joined(chosen, texts, roots, refused)
+        each *= 4
+
+
+def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    ends = roots.select(F.col("rep").alias("a"), F.col("root").alias("ra"))
+    both = pairs.join(ends, "a").join(ends.toDF("b", "rb"), "b")
+    return both.filter("ra <> rb").select(*pairs.columns)
+
+
+def checked_and_joined(chosen: DataFrame, texts: DataFrame, roots: DataFrame, refused: DataFrame):
+    """Check pairs on full sets: the new roots, and all pairs refused so far."""
+    checked = keep(linked(chosen, texts), "checked")
+    refused = keep(refused.union(checked.filter("not link").select("a", "b")), "refused")
+    links = checked.filter("link").select("a", "b")
+    ends = roots.select(F.col("rep").alias("a"), F.col("root").alias("ra"))
+    links = links.join(ends, "a").join(ends.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    moved = components(links).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    roots = roots.join(moved, "root", "left").select("rep", F.coalesce("to", "root").alias("root"))
+    return keep(roots, "roots"), refused
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
