@@ -198,3 +198,71 @@ WITH v AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    from loomcast.llm import licenses as lic
+
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    whole = [(name, x) for name, text in lic.LICENSES.items() for x in (text, f"{lic.TITLES[name]}\n\n{text}")]
+    rows = lambda pairs: ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in pairs)
+    spell = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in lic.SPELLINGS.items()) + "}"
+
+    def form(text: str) -> str:
+        lines = f"list_filter(string_split(coalesce({text}, ''), chr(10)), lambda l: NOT regexp_matches(l, {quoted(lic.COPYRIGHT_LINE)}))"
+        bare = f"trim(regexp_replace(lower(array_to_string({lines}, chr(10))), {quoted(lic.BETWEEN_WORDS)}, ' ', 'g'))"
+        return f"array_to_string(list_transform(string_split({bare}, ' '), lambda w: coalesce({spell}[w], w)), ' ')"
+
+    return f"""
+WITH whole AS (
+  SELECT DISTINCT name, {form('text')} AS form FROM (VALUES {rows(whole)}) AS t(name, text)
+), notice AS (
+  SELECT DISTINCT name, {form('text')} AS form FROM (VALUES {rows([(b, a) for a, b in lic.NOTICES.items()])}) AS t(name, text)
+), line AS (
+  SELECT DISTINCT doc_id, {form('line')} AS form
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
+), hit AS (
+  SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM line JOIN notice USING (form) GROUP BY doc_id
+)
+SELECT d.doc_id, w.name AS license, coalesce(hit.notices, '') AS notices
+FROM (SELECT doc_id, {form('text')} AS form FROM documents) d
+LEFT JOIN whole w USING (form) LEFT JOIN hit USING (doc_id)
+"""
+
+
+QUERIES["op3_licenses"] = op3_licenses
+ORACLES["op3_licenses"] = _license_sql()
+
+
+def op8_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.chats import format_chats
+
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+QUERIES["op8_chats"] = op8_chats
+ORACLES["op8_chats"] = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), p AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place,
+         '<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || chr(10) || '<|end|>' || chr(10) AS line
+  FROM t
+), w AS (
+  SELECT conv_id, place, string_agg(line, '') OVER (PARTITION BY conv_id ORDER BY place) AS upto,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM p
+), m AS (
+  SELECT min(conv_id) AS conv_id, n_turns FROM w
+  WHERE place = n_turns AND NOT EXISTS (SELECT 1 FROM w x WHERE x.place < x.n_turns AND x.upto = w.upto)
+  GROUP BY upto, n_turns
+)
+SELECT conv_id, (place - 1) // 64 AS segment, any_value(n_turns) AS n_turns, string_agg(line, '' ORDER BY place) AS rendered
+FROM m JOIN p USING (conv_id) GROUP BY conv_id, (place - 1) // 64
+"""
