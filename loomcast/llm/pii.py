@@ -191,29 +191,33 @@ class SpanModel:
         return score >= math.log(SURE / (1 - SURE))
 
 
-def em(patterns: list[tuple[tuple[int, ...], int]], rounds: int = EM_ROUNDS):
+def em(patterns: list[tuple[tuple[int, ...], int]], fixed: dict[int, float] | None = None, rounds: int = EM_ROUNDS):
     """Vote patterns with counts -> (likelihood of each pattern, prior, reliabilities).
 
-    Two classes; each labeler has its own chances of voting 1, 0 and -1 in either class.
-    Starts from the balance of votes; counts get a prior of one vote each way that leans
-    to labelers being better than chance.
+    Two classes; each labeler has its own chance of voting 1 rather than -1 in either
+    class, and says nothing by 0. Starts from the balance of votes; counts get a prior of
+    a few votes that leans to labelers being better than chance. ``fixed``: likelihoods by the
+    first labeler's vote, which anchor the classes where the format decides.
     """
+    fixed = fixed or {}
     total = sum(n for _, n in patterns)
-    likely = [min(0.95, max(0.05, 0.5 + 0.5 * sum(v) / LABELERS)) for v, _ in patterns]
+    likely = [fixed.get(v[0], min(0.95, max(0.05, 0.5 + 0.5 * sum(v) / LABELERS))) for v, _ in patterns]
     prior, chance = 0.5, {}
     for _ in range(rounds):
         mass = sum(p * n for p, (_, n) in zip(likely, patterns))
         prior = (mass + 1) / (total + 2)
         for k in range(LABELERS):
             for truth in (1, 0):
-                seen = {1: 2.0 if truth else 1.0, 0: 1.0, -1: 1.0 if truth else 2.0}
+                seen = {1: 2.0 if truth else 1.0, -1: 1.0 if truth else 2.0}
                 for p, (v, n) in zip(likely, patterns):
-                    seen[v[k]] += n * (p if truth else 1 - p)
+                    if v[k]:
+                        seen[v[k]] += n * (p if truth else 1 - p)
                 chance[k, truth] = {v: x / sum(seen.values()) for v, x in seen.items()}
         for i, (v, _) in enumerate(patterns):
-            odds = math.log(prior / (1 - prior))
-            odds += sum(math.log(chance[k, 1][v[k]] / chance[k, 0][v[k]]) for k in range(LABELERS))
-            likely[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
+            if v[0] not in fixed:
+                odds = math.log(prior / (1 - prior))
+                odds += sum(math.log(chance[k, 1][v[k]] / chance[k, 0][v[k]]) for k in range(LABELERS) if v[k])
+                likely[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
     right = [prior * chance[k, 1][1] + (1 - prior) * chance[k, 0][-1] if chance else 0.5 for k in range(LABELERS)]
     return likely, prior, right
 
@@ -268,7 +272,7 @@ def learn(spans: DataFrame) -> SpanModel:
     for kind in KINDS:
         patterns = sorted((tuple(r["votes"]), r["n"]) for r in counted if r["kind"] == kind)
         if patterns:
-            found, _, reliability[kind] = em(patterns)
+            found, _, reliability[kind] = em(patterns, {1: 0.98, -1: 0.02})
             likely += [(kind, list(v), p) for (v, _), p in zip(patterns, found)]
     if not likely:
         return SpanModel({}, {}, {})

@@ -125,7 +125,7 @@ def fit_ordinal(
     theta = np.log(share / (1 - share))
     w, z, momentum = np.zeros(width), np.zeros(width), 1.0
     if not n or top == 0:
-        return w, theta
+        return w, np.full(cuts, 50.0)  # nothing is known to be toxic
     # a bound of the curvature: the largest row and column sums of the design
     per_row = np.bincount(rows, minlength=n).astype(float)
     bound = np.bincount(cols, weights=per_row[rows], minlength=width).max() / (4 * n) + 1e-9
