@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomcast.session import scratch_path, ship_package
 
 #: Text bytes that Python code looks at together; one longer text is looked at alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 #: Runs of white space that are not one plain space.
 ODD_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"

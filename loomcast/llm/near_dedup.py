@@ -28,10 +28,14 @@ SHINGLE = 5
 #: probability 1 - 6e-11.
 REGISTERS, BAND_ROWS = 128, 4
 BANDS = REGISTERS // BAND_ROWS
-MANTISSA = 10
-EMPTY = 0xFFFF
+#: Mantissa bits. Sparse texts fill few registers of a band, so one register alone must
+#: tell shingles apart: with 10 bits the candidates by chance grew with the square of the input.
+MANTISSA = 26
+EMPTY = 0xFFFFFFFF
 #: Link when LINK_BELOW * intersection >= LINK_ABOVE * union.
 LINK_BELOW, LINK_ABOVE = 100, 85
+#: Sets of fewer shingles link with equal sets only: 5 / 6 is below the limit.
+LEAST_LINKED = LINK_ABOVE // (LINK_BELOW - LINK_ABOVE) + 1
 #: Standard deviations by which the estimate may fall short of the limit before a
 #: candidate is dropped unchecked.
 SLACK = 6.0
@@ -43,16 +47,18 @@ LEAST_FILLED = 32
 SKETCHES = "doc_id long, n_shingles long, fingerprint binary, registers binary"
 #: Hub rounds before the members of a group are compared in blocks.
 HUB_ROUNDS = 3
+#: Texts of up to this many shingles bring their whole sets to the block comparison.
+SHORT = 256
 #: Rows of blocks that one call compares.
-TASK_ROWS = 20_000
+TASK_ROWS = 10_000
 #: Pairs of one member that are checked in the first round after the block comparison; the
 #: number grows fourfold each round.
 FIRST_CHECKS = 4
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
-    """The HyperMinHash registers (16 bits each) of sorted shingle hashes."""
-    out = np.full(REGISTERS, EMPTY, dtype="<u2")
+    """The HyperMinHash registers (32 bits each: 6 of leading zeros, 26 of mantissa) of sorted shingle hashes."""
+    out = np.full(REGISTERS, EMPTY, dtype="<u4")
     if len(shingles):
         rows = (shingles >> np.uint64(64 - ROW_BITS)).astype(np.int64)
         first = np.flatnonzero(np.diff(rows, prepend=-1))  # sorted: the least value of a register comes first
@@ -76,10 +82,12 @@ def judged(match: np.ndarray, filled: np.ndarray, n_left: np.ndarray, n_right: n
 
     Matches expected by chance, which grow as mantissas are short, are taken off first.
     A pair is dropped if the limit lies ``SLACK`` deviations above its estimate, or if
-    the set sizes alone rule the link out.
+    the set sizes alone rule the link out. The filled registers are a sample, without
+    repetition, of the union, whose size follows from the set sizes and the limit.
     """
     limit = LINK_ABOVE / LINK_BELOW
-    floor = limit - SLACK * np.sqrt(limit * (1 - limit) / np.maximum(filled, 1))
+    left_out = np.maximum(1 - filled * (1 + limit) / (n_left + n_right), 0.02)
+    floor = limit - SLACK * np.sqrt(limit * (1 - limit) * left_out / np.maximum(filled, 1))
     fits = LINK_BELOW * np.minimum(n_left, n_right) >= LINK_ABOVE * np.maximum(n_left, n_right)
     out = np.full(len(match), -1.0)
     # what chance can only lower is decided first
@@ -120,7 +128,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array([np.frombuffer(b, dtype="<u2") for b in column.to_pylist()]).reshape(-1, REGISTERS)
+    return np.array([np.frombuffer(b, dtype="<u4") for b in column.to_pylist()]).reshape(-1, REGISTERS)
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -160,18 +168,19 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def band_members(classes: DataFrame) -> DataFrame:
-    """(band, rep) of every class and band whose registers it shares with another class."""
-    width = 2 * BAND_ROWS
+    """(band, place, rep) of every class and band whose registers it shares with another class."""
+    width = 4 * BAND_ROWS
     blank = F.lit(b"\xff" * width)
     parts = [F.substring("registers", 1 + width * k, width) for k in range(BANDS)]
-    keys = F.array(*[F.when(p != blank, F.xxhash64(F.lit(k), p)) for k, p in enumerate(parts)])
-    rows = classes.select("rep", F.explode(keys).alias("band")).filter("band is not null")
+    keys = F.array(*[F.when(p != blank, F.struct(F.xxhash64(F.lit(k), p).alias("band"), F.lit(k).alias("place"))) for k, p in enumerate(parts)])
+    rows = classes.filter(F.col("n_shingles") >= LEAST_LINKED)
+    rows = rows.select("rep", F.explode(F.array_compact(keys)).alias("k")).select("rep", "k.band", "k.place")
     shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
     return rows.join(shared, "band")
 
 
 def open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(band, rep, root) in the bands that still hold more than one component."""
+    """(band, place, rep, root) in the bands that still hold more than one component."""
     rows = members.join(roots, "rep")
     mixed = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
     return rows.join(mixed.filter("low <> high").select("band", "size"), "band")
@@ -190,24 +199,39 @@ def hub_pairs(rows: DataFrame, round_no: int) -> DataFrame:
     return _ordered(pairs).distinct()
 
 
-def block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Every pair of a band across two components that the estimate does not drop.
+def short_sets(texts: DataFrame) -> DataFrame:
+    """(rep, shingles): the whole shingle set of each short text, as bytes; null for others."""
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            sets = shingle_sets(part.column("text"), SHINGLE)
+            held = pa.array([s.tobytes() if len(s) <= SHORT else None for s in sets], type=pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("rep"), held], names=["rep", "shingles"])
+
+    return texts.mapInArrow(run, "rep long, shingles binary")
+
+
+def block_pairs(rows: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Every pair of a band across two components that neither its estimate nor its sets drop.
 
     Members outside the band's largest component are compared with all members, block by
-    block; the members of the largest component need no comparison among each other.
+    block; the members of the largest component need no comparison among each other. A
+    pair is looked at in the first band that it shares only. Short texts bring their
+    whole sets, so of these only true links go on.
     """
     sizes = rows.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     main = keep(sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("m")), "main")
     main = main.select("band", F.col("m.root").alias("main_root"))
-    full = rows.join(main, "band").join(classes.select("rep", "registers", "n_shingles"), "rep")
+    sets = keep(short_sets(texts), "sets")
+    full = rows.join(main, "band").join(classes.select("rep", "registers", "n_shingles"), "rep").join(sets, "rep")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     targets = full.select(
         "band", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.lit(False).alias("odd"),
-        "rep", "root", "registers", "n_shingles",
+        "place", "rep", "root", "registers", "n_shingles", "shingles",
     )
     odd = full.filter("root <> main_root").select(
         "band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("odd"),
-        "rep", "root", "registers", "n_shingles",
+        "place", "rep", "root", "registers", "n_shingles", "shingles",
     )
 
     every = keep(targets.union(odd), "blocks")
@@ -215,10 +239,11 @@ def block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
     def compare(rows_of: pa.Table) -> pa.Table:
         rows_of = rows_of.sort_by([("band", "ascending"), ("block", "ascending"), ("odd", "ascending"), ("rep", "ascending")])
-        band, block, is_odd, rep, root, size = (
+        band, block, is_odd, place, rep, root, size = (
             rows_of.column(c).combine_chunks().to_numpy(zero_copy_only=False)
-            for c in ("band", "block", "odd", "rep", "root", "n_shingles")
+            for c in ("band", "block", "odd", "place", "rep", "root", "n_shingles")
         )
+        held = rows_of.column("shingles").to_pylist()
         size = size.astype(float)
         codes = _matrix(rows_of.column("registers").combine_chunks())
         there = codes != EMPTY
@@ -229,10 +254,16 @@ def block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
             for k in range(middle, last):
                 other = first + np.flatnonzero(root[first:middle] != root[k])
                 if len(other):
-                    match = ((codes[other] == codes[k]) & there[k]).sum(axis=1)
+                    same = (codes[other] == codes[k]) & there[k]
                     filled = (there[other] | there[k]).sum(axis=1)
-                    estimate = judged(match, filled, size[other], np.full(len(other), size[k]))
+                    estimate = judged(same.sum(axis=1), filled, size[other], np.full(len(other), size[k]))
                     hit = estimate >= 0
+                    near = np.flatnonzero(hit)
+                    if len(near):
+                        hit[near] = _first_shared(codes[other[near]], codes[k], there[k]) == place[k]
+                        for n in np.flatnonzero(hit):
+                            if held[k] is not None and held[other[n]] is not None:
+                                hit[n] = _links(held[k], held[other[n]])
                     if hit.any():
                         found.append((np.full(hit.sum(), rep[k]), rep[other[hit]], estimate[hit]))
         x, y, estimate = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0),) * 3
@@ -246,6 +277,18 @@ def block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "estimate").distinct()
 
 
+def _first_shared(codes: np.ndarray, own: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """The first band in which each row of ``codes`` agrees with ``own`` on all registers, not all empty."""
+    agree = (codes == own).reshape(len(codes), BANDS, BAND_ROWS).all(axis=2)
+    return np.argmax(agree & there.reshape(BANDS, BAND_ROWS).any(axis=1), axis=1)
+
+
+def _links(left: bytes, right: bytes) -> bool:
+    x, y = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return LINK_BELOW * both >= LINK_ABOVE * (len(x) + len(y) - both)
+
+
 def _best(pairs: DataFrame, each: int) -> DataFrame:
     """For each larger id its ``each`` pairs of the highest estimate; the others wait for a later round."""
     from pyspark.sql import Window
@@ -258,7 +301,9 @@ def class_roots(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(rep, root) of every class: the smallest class of its component of links."""
     members = keep(band_members(classes), "bands")
     texts = keep(
-        docs.select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]).join(members.select("rep").distinct(), "rep", "left_semi"),
+        docs.select(F.col("doc_id").alias("rep"), "text")
+        .join(members.select("rep").distinct(), "rep", "left_semi")
+        .dropDuplicates(["rep"]),
         "texts",
     )
     roots = keep(classes.select("rep", F.col("rep").alias("root")), "roots")
@@ -271,7 +316,7 @@ def class_roots(classes: DataFrame, docs: DataFrame) -> DataFrame:
             break
         roots, refused = checked_and_joined(chosen, texts, roots, refused)
     # all pairs that are left to check; components only grow, so none comes to this later
-    left = keep(block_pairs(keep(open_members(members, roots), "open"), classes), "left")
+    left = keep(block_pairs(keep(open_members(members, roots), "open"), classes, texts), "left")
     each = FIRST_CHECKS
     while True:
         chosen = keep(_best(across(left, roots).join(refused, ["a", "b"], "left_anti"), each), "pairs")
