@@ -199,8 +199,8 @@ def _mk(source: str, value: str) -> str:
     return f"""pr AS (SELECT a.k, CAST(sum(sign(b.{value} - a.{value})) AS BIGINT) AS s, median((b.{value} - a.{value}) / (b.i - a.i)) AS slope
   FROM {source} a JOIN {source} b ON a.k = b.k AND b.i > a.i GROUP BY a.k),
 ti AS (SELECT k, sum(c * (c - 1) * (2 * c + 5)) AS tie FROM (SELECT k, count(*)::DOUBLE AS c FROM {source} GROUP BY k, {value}) GROUP BY k),
-si AS (SELECT k, count(*)::DOUBLE AS n, median({value}) AS mid FROM {source} GROUP BY k),
-va AS (SELECT k, n, s, slope, mid - slope * (n - 1) / 2 AS intercept, (n * (n - 1) * (2 * n + 5) - tie) / 18 AS var_s FROM pr JOIN ti USING (k) JOIN si USING (k)),
+si AS (SELECT k, count(*)::DOUBLE AS n, median({value}) AS mid, median(i) AS middle FROM {source} GROUP BY k),
+va AS (SELECT k, n, s, slope, mid - slope * middle AS intercept, (n * (n - 1) * (2 * n + 5) - tie) / 18 AS var_s FROM pr JOIN ti USING (k) JOIN si USING (k)),
 mk AS (SELECT *, CASE WHEN var_s = 0 THEN 0 ELSE (s - sign(s)) / sqrt(var_s) END AS z FROM va),
 tr AS (SELECT *, CASE WHEN abs(z) <= 1.959963984540054 THEN 'no trend' WHEN z > 0 THEN 'increasing' ELSE 'decreasing' END AS trend FROM mk)"""
 
@@ -261,6 +261,35 @@ def _(spark, sf):
     return rounded(report, 6, "slope", "intercept")
 
 
+_KNOWN = f"{WEEKLY}, g AS (SELECT k, i, v FROM s WHERE v IS NOT NULL AND i % 11 < 7)"
+
+
+def gappy(spark, sf):
+    """The weekly series without a third of their weeks, in runs."""
+    return weekly(spark, sf).withColumn("v", F.when(F.col("i") % 11 < 7, F.col("v")))
+
+
+@query(
+    "mann_kendall_gaps",
+    f"WITH {_KNOWN}, {_mk('g', 'v')} SELECT k, CAST(n AS BIGINT) AS n, s, round(z, 8) AS z, trend, "
+    "round(slope, 4) AS slope, round(intercept, 2) AS intercept FROM tr",
+)
+def _(spark, sf):
+    found = T.mann_kendall(gappy(spark, sf), ["k"], "i", "v").drop("p_value", "var_s")
+    return rounded(rounded(rounded(found, 4, "slope"), 8, "z"), 2, "intercept")
+
+
+@query(
+    "detrend_mk_gaps",
+    f"WITH {WEEKLY}, g AS (SELECT k, i, v FROM (SELECT k, i, v + 1000.0 * i AS v FROM s) WHERE v IS NOT NULL AND i % 11 < 7), {_mk('g', 'v')} "
+    "SELECT g.k, g.i, round(CASE WHEN trend = 'no trend' THEN v ELSE v - (intercept + slope * i) END, 1) AS detrended FROM g JOIN tr ON tr.k = g.k",
+)
+def _(spark, sf):
+    rising_ = gappy(spark, sf).withColumn("v", F.col("v") + F.lit(1000.0) * F.col("i"))
+    changed, _report = T.detrend_mk(rising_, ["k"], "i", "v")
+    return rounded(changed.where("v is not null").select("k", "i", "detrended"), 1, "detrended")
+
+
 _OLS = """ls AS (SELECT k, count(v) AS n, regr_slope(v, i + 1) AS slope, regr_intercept(v, i + 1) AS intercept,
   regr_slope(v, i + 1) / sqrt((regr_syy(v, i + 1) - regr_slope(v, i + 1) * regr_sxy(v, i + 1)) / (count(v) - 2) / regr_sxx(v, i + 1)) AS t_value
   FROM {source} GROUP BY k)"""

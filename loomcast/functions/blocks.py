@@ -24,7 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomcast.functions.joins import attach, match
+from loomcast.session import settle
+
 BLOCK = 65_536
+#: Distinct values of one block where rows are ordered by value.
+BLOCK_VALUES = 1_000_000
 MAX_POINTS = 4_000_000  # more than a date order can ever hold
 BLK = "_blk"
 BOUND = "series_bound"
@@ -90,8 +95,8 @@ def position(
         bound = high - low
     if bound is not None:
         df = spread(df, keys)
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
-        return df.withColumn(out, number.cast("long")).withMetadata(out, {BOUND: bound})
+        line = Window.partitionBy(*keys).orderBy(order)
+        return df.withColumn(out, _numbered(order, line)).withMetadata(out, {BOUND: bound})
     tagged = df.withColumn("_ob", _coarse_order(df, order))
     sizes = tagged.groupBy(*keys, "_ob").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,12 +105,20 @@ def position(
     )
     within = Window.partitionBy(*keys, "_ob").orderBy(order)
     return (
-        tagged.join(starts, [*keys, "_ob"])
-        .withColumn(out, (F.row_number().over(within) - 1 + F.col("_start")).cast("long"))
+        attach(tagged, starts, [*keys, "_ob"])
+        .withColumn(out, _numbered(order, within) + F.col("_start"))
         .drop("_ob", "_start")
     )
 
 
+def _numbered(order: str, line) -> Column:
+    """0, 1, … in ``order``; raises where a key holds a value of it twice, as its bound counts each once."""
+    twice = F.col(order) == F.lag(order).over(line)
+    number = (F.row_number().over(line) - 1).cast("long")
+    error = F.raise_error(F.concat(F.lit(f"{order} is not unique: "), F.col(order).cast("string"))).cast("long")
+    return F.when(F.coalesce(twice, F.lit(False)), error).otherwise(number)
+
+
 def keep_bound(df: DataFrame, source: DataFrame, pos: str) -> DataFrame:
     """Hand the proven bound of ``source``'s position on to a result of a grouped task."""
     bound = known_bound(source, pos)
@@ -158,15 +171,14 @@ def with_totals(
     """Attach per-key aggregates to every row.
 
     A bounded series takes them from a window on its own partition, in the same
-    pass.  Otherwise they are aggregated and joined back, an ordinary equi join
-    that adaptive execution broadcasts if small and splits on a hot key.
+    pass.  Otherwise they are aggregated, measured and joined back.
     """
     keys = list(keys)
     if pos is not None and known_bound(df, pos) is not None:
         span = Window.partitionBy(*keys)
         return df.withColumns({name: total.over(span) for name, total in totals.items()})
     found = df.groupBy(*keys).agg(*[total.alias(name) for name, total in totals.items()])
-    return df.join(found, keys, "left")
+    return attach(df, found, keys)
 
 
 def bounded_position(pos: str, limit: int = MAX_POINTS) -> Column:
@@ -177,19 +189,17 @@ def bounded_position(pos: str, limit: int = MAX_POINTS) -> Column:
     )
 
 
-def value_splits(df: DataFrame, value: str, max_rows: int) -> list[float]:
-    """Quantiles of ``value`` such that no block holds many more than ``max_rows`` rows.
+def value_splits(counts: DataFrame, value: str, max_rows: int) -> list[float]:
+    """Quantiles of the distinct values such that no block holds many more than ``max_rows`` of them.
 
-    One count decides; a table within the bound needs no split.  The number of
-    splits is bounded so that the quantile sketch each task sends stays small; past
-    that, blocks grow and their sort spills.
+    ``counts`` has one row per (key, value) and is already written, so that neither its
+    size nor its quantiles read the raw rows again.
     """
-    n = df.count()
-    if n <= max_rows:
+    blocks = -(-2 * counts.count() // max_rows)
+    if blocks < 3:
         return []
-    blocks = min(-(-2 * n // max_rows), 10_000)
     probs = [k / blocks for k in range(1, blocks)]
-    return sorted(set(df.approxQuantile(value, probs, 0.5 / blocks)))
+    return sorted(set(counts.approxQuantile(value, probs, 0.5 / blocks)))
 
 
 def running_totals(
@@ -236,7 +246,7 @@ def running_totals(
         )
     )
     plain = [c for c in local.columns if c not in {f"{t}_below" for t in totals} | {BLK}]
-    return local.join(carry, [*keys, BLK]).select(
+    return match(local, carry, [*keys, BLK]).select(
         *plain,
         *[(F.col(f"{c}_below") + F.col(f"_c_{c}")).cast("long").alias(f"{c}_below") for c in totals],
         *[f"{c}_total" for c in totals],
@@ -244,12 +254,12 @@ def running_totals(
 
 
 def value_counts(
-    df: DataFrame, keys: Sequence[str], value: str, max_rows: int = 4_000_000
+    df: DataFrame, keys: Sequence[str], value: str, max_rows: int = BLOCK_VALUES
 ) -> DataFrame:
     """(keys, value, n, n_below, n_total): each distinct value, its count, those below, and all."""
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
-    splits = value_splits(known, value, max_rows)
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
+    splits = value_splits(counts, value, max_rows)
     return running_totals(counts, keys, value, ["n"], splits)
 
 

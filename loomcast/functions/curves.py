@@ -185,13 +185,16 @@ def kendall_s(y) -> int:
     return rising - (falling_or_tied - tied)
 
 
-def median_slope(y) -> float:
-    """Median of (y[j] - y[i]) / (j - i) over i < j, by bisection on counts of pairs."""
+def median_slope(y, x=None) -> float:
+    """Median of (y[j] - y[i]) / (x[j] - x[i]) over i < j, by bisection on counts of pairs.
+
+    ``x`` rises strictly; without it the places 0, 1, … are taken.
+    """
     y = np.asarray(y, float)
     n = len(y)
     pairs = n * (n - 1) // 2
-    x = np.arange(n)
-    step = np.abs(np.diff(y)).max()
+    x = np.arange(n) if x is None else np.asarray(x, float)
+    step = np.abs(np.diff(y) / np.diff(x)).max()
     if step == 0:
         return 0.0
 

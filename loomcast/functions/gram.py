@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.blocks import BLK, Cut, spread
 from loomcast.functions.grouped import per_group
+from loomcast.functions.joins import match
 
 CHUNK = 65_536
 NARROW = 20
@@ -178,7 +179,7 @@ def lagged_fit(
             grams[int(spec)] = gram
         return solver(Summed(grams, start, pdf.iloc[0]))
 
-    return per_group(summed.join(constant, keys), keys, keys, extra, finish)
+    return per_group(match(summed, constant, keys), keys, keys, extra, finish)
 
 
 def lags(values: np.ndarray, start: int, stop: int, count: int) -> np.ndarray:

@@ -19,6 +19,7 @@ from loomcast.functions.blocks import Cut, known_bound, position, with_totals
 from loomcast.functions.gram import LAGGED, Summed, dot, lags, lagged_fit, solve
 from loomcast.functions.grouped import per_group, to_null
 from loomcast.functions.tails import chi2_sf
+from loomcast.functions.joins import match
 
 Z95 = 1.959963984540054
 LONG_AR_CAP = 120
@@ -81,7 +82,7 @@ def innovations(
     slopes = F.slice("_ar", 2, F.greatest(F.size("_ar") - 1, F.lit(1)))
     guess = F.element_at("_ar", 1) + dot(F.reverse("_before"), slopes)
     ready = F.col("_ar").isNotNull() & (F.col("j") >= F.size("_ar") - 1)
-    return lagged.join(fits, keys, "left").select(
+    return match(lagged, fits, keys, "left").select(
         *keys,
         pos,
         "j",
@@ -286,18 +287,18 @@ def arma_forecast(
     )
     wanted = specs.withColumn("_reach", F.greatest(F.array_max(lag_of), F.lit(1)))
     if isinstance(horizon, DataFrame):
-        wanted = wanted.join(horizon.select(*keys, "horizon"), keys)
+        wanted = match(wanted, horizon.select(*keys, "horizon"), keys)
     else:
         wanted = wanted.withColumn("horizon", F.lit(horizon))
     if future is not None:
         steps = future.groupBy(*keys).agg(
             F.sort_array(F.collect_list(F.struct("step", F.array(*exog).alias("x")))).alias("_next")
         )
-        wanted = wanted.join(steps, keys, "left")
+        wanted = match(wanted, steps, keys, "left")
     model = [*keys, "terms", "coef", "rss", F.col("n").alias("_fit_n"), "_reach", "horizon"]
     if future is not None:
         model.append("_next")
-    tail = shocks.select(*keys, "j", "n", "mean", "sd", "z", "e").join(wanted.select(*model), keys)
+    tail = match(shocks.select(*keys, "j", "n", "mean", "sd", "z", "e"), wanted.select(*model), keys)
     tail = tail.where(F.col("j") >= F.col("n") - F.col("_reach"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -375,7 +376,7 @@ def in_sample_predict(
             }
         )
     )
-    joined = rows.join(model, keys)
+    joined = match(rows, model, keys)
 
     def pull(weights: str, past: str):
         terms = F.transform(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.blocks import Cut, keep_bound
 from loomcast.functions.curves import loess_decompose
 from loomcast.functions.grouped import per_series, to_null
+from loomcast.functions.joins import attach
 
 
 def seasonal_decompose(
@@ -55,8 +56,10 @@ def stl(
     """Loess decomposition per series: (keys, pos, value, season, trend, resid).
 
     ``period`` may be a column, one value per series; a missing period gives a zero
-    season with the series itself as trend.  The smoother is sequential over the
-    whole series, so it runs as one task per series of bounded length.
+    season with the series itself as trend (``status`` "no period").  A series of
+    fewer than two periods cannot be decomposed: its parts are NULL and its status is
+    "short".  All others are "ok".  The smoother is sequential over the whole series,
+    so it runs as one task per series of bounded length.
     """
     step = F.lit(period) if isinstance(period, int) else period
     frame = df.where(F.col(value).isNotNull()).withColumn("_period", step.cast("double"))
@@ -64,17 +67,22 @@ def stl(
     def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
         y = pdf[value].to_numpy(float)
         every = pdf["_period"].iloc[0]
-        if np.isnan(every) or len(y) < 2 * int(every):
+        status = "ok"
+        if np.isnan(every):
             season, trend, resid = np.zeros(len(y)), y, np.zeros(len(y))
+            status = "no period"
+        elif len(y) < 2 * int(every):
+            season, trend, resid = (np.full(len(y), np.nan) for _ in range(3))
+            status = "short"
         else:
             season, trend, resid = loess_decompose(y, int(every), robust, seasonal)
         return pd.DataFrame(
-            {pos: pdf[pos], value: y, "season": season, "trend": trend, "resid": resid}
+            {pos: pdf[pos], value: y, "season": season, "trend": trend, "resid": resid, "status": status}
         )
 
-    extra = f"`{pos}` bigint, `{value}` double, season double, trend double, resid double"
+    extra = f"`{pos}` bigint, `{value}` double, season double, trend double, resid double, status string"
     parts = per_series(frame, keys, pos, [value, "_period"], extra, decompose)
-    return keep_bound(parts, df, pos)
+    return keep_bound(to_null(parts, "season", "trend", "resid"), df, pos)
 
 
 def additive_adjust(
@@ -97,11 +105,12 @@ def deseasonalize(
 ) -> DataFrame:
     """Loess-adjust each series by its own found period, ``int(period) + 1`` steps long.
 
-    Series without a period stay as they are: (keys, pos, value, adjusted).
+    Series without a period stay as they are, and so do those of fewer than two periods,
+    which have no season to remove: (keys, pos, value, adjusted).
     """
-    joined = df.join(periods.select(*keys, "period"), list(keys), "left")
+    joined = attach(df, periods.select(*keys, "period"), keys)
     parts = stl(joined, keys, pos, value, F.floor("period") + 1)
-    kept = parts.join(periods.select(*keys, F.col("period").alias("_found")), list(keys), "left")
+    kept = parts.withColumn("_found", F.when(F.col("status") == "ok", 1))
     adjusted = additive_adjust(kept, value, remove, "_adj")
     return to_null(
         adjusted.select(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.functions.blocks import position, with_totals
+from loomcast.functions.joins import attach
 from loomcast.operators.arma import arma_forecast, arma_grid, innovations
 from loomcast.operators.decompose import additive_adjust, stl
 from loomcast.operators.windows import clip_negative, round_forecast
@@ -22,13 +23,13 @@ def seasonal_parts(
 
 
 def last_season(parts: DataFrame, keys: Sequence[str], pos: str, period: int) -> DataFrame:
-    """(keys, phase, season): the season of the last full period; step 1 follows with phase 0."""
-    keys = list(keys)
-    ends = parts.groupBy(*keys).agg(F.max(pos).alias("_end"))
-    tail = parts.join(ends, keys).where(F.col(pos) > F.col("_end") - period)
-    return tail.select(
-        *keys, (F.col(pos) - F.col("_end") + period - 1).cast("int").alias("phase"), "season"
-    )
+    """(keys, phase, season): the last known season of each phase, the position modulo the period.
+
+    A gap in the last period leaves its phases to the period before.
+    """
+    phase = (F.col(pos) % period).cast("int").alias("phase")
+    known = parts.where(F.col("season").isNotNull())
+    return known.groupBy(*keys, phase).agg(F.max_by("season", pos).alias("season"))
 
 
 def seasonal_arma_forecast(
@@ -41,17 +42,37 @@ def seasonal_arma_forecast(
     horizon: int | DataFrame,
     clip: bool = True,
 ) -> DataFrame:
-    """(keys, step, mean, lower, upper): robust decomposition, ARMA on the rest, last season added back."""
+    """(keys, step, mean, lower, upper, status): robust decomposition, ARMA on the rest, last season added back.
+
+    Every series of ``df`` gets every step asked for.  Where there is no forecast, the
+    values are NULL and ``status`` tells why: "no values", "short" (fewer than two
+    periods), "not fitted" (the order cannot be fitted) or "no season" (no known value in
+    the step's phase); otherwise it is "ok".
+    """
     keys = list(keys)
     # the decomposition is the dear step and is read several times below
     parts = settle(seasonal_parts(df, keys, pos, value, period))
     shocks = innovations(parts, keys, pos, "adjusted")
     fits = arma_grid(shocks, keys, [order[0]], [order[1]])
     ahead = arma_forecast(shocks, fits.where(F.col("coef").isNotNull()), keys, horizon)
-    phased = ahead.withColumn("phase", ((F.col("step") - 1) % period).cast("int"))
-    joined = phased.join(last_season(parts, keys, pos, period), [*keys, "phase"])
+    asked = df.select(*keys).distinct()
+    if isinstance(horizon, DataFrame):
+        asked = attach(asked, horizon.select(*keys, "horizon"), keys, "inner")
+    else:
+        asked = asked.withColumn("horizon", F.lit(horizon))
+    asked = asked.where("horizon > 0").withColumn("step", F.explode(F.sequence(F.lit(1), F.col("horizon").cast("int"))))
+    ends = parts.groupBy(*keys).agg(F.max(pos).alias("_end"), F.max("status").alias("_parts"))
+    asked = attach(asked, ends, keys).withColumn("phase", ((F.col("_end") + F.col("step")) % period).cast("int"))
+    joined = attach(attach(asked, ahead, [*keys, "step"]), last_season(parts, keys, pos, period), [*keys, "phase"])
+    status = (
+        F.when(F.col("_parts").isNull(), "no values")
+        .when(F.col("_parts") != "ok", F.col("_parts"))
+        .when(F.col("mean").isNull(), "not fitted")
+        .when(F.col("season").isNull(), "no season")
+        .otherwise("ok")
+    )
     out = joined.select(
-        *keys, "step", *[(F.col(c) + F.col("season")).alias(c) for c in ("mean", "lower", "upper")]
+        *keys, "step", *[(F.col(c) + F.col("season")).alias(c) for c in ("mean", "lower", "upper")], status.alias("status")
     )
     return clip_negative(out, "mean") if clip else out
 
@@ -101,10 +122,13 @@ def combine_forecasts(
     columns: Sequence[str] = ("city", "year", "weekofyear"),
     guess: str = "mean",
 ) -> DataFrame:
-    """Match step h of each key's forecast to its h-th missing row; clipped, rounded, integer."""
+    """Match step h of each key's forecast to its h-th missing row; clipped, rounded, integer.
+
+    A missing row without a forecast stays in the result with a missing target.
+    """
     keys = list(keys)
     steps = missing_steps(df, keys, pos, target).drop(target)
-    joined = steps.join(forecasts.select(*keys, "step", F.col(guess).alias(target)), [*keys, "step"])
+    joined = attach(steps, forecasts.select(*keys, "step", F.col(guess).alias(target)), [*keys, "step"])
     return round_forecast(clip_negative(joined, target), target).select(*columns, target)
 
 

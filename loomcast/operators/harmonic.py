@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.blocks import BOUND, known_bound, position, with_totals
 from loomcast.functions.gram import Summed, dot, lags, lagged_fit, row_gram, solve, square
 from loomcast.functions.grouped import per_group
+from loomcast.functions.joins import match
 from loomcast.operators.arma import Z95, continue_series, shock_weights
 from loomcast.session import settle
 
@@ -110,7 +111,7 @@ def harmonic_deseasonalize(
     waves = _waves(sorted(periods), harmonics)
     columns = F.array(F.lit(0.0), *_wave_columns(F.col(pos), waves))
     season = dot(columns, F.col("coef"))
-    return df.join(fits.select(*keys, "coef"), keys, "left").select(
+    return match(df, fits.select(*keys, "coef"), keys, "left").select(
         *df.columns, season.alias("season"), (F.col(value) - season).alias("adjusted")
     )
 
@@ -152,7 +153,7 @@ def harmonic_forecast(
     waves = _waves(sorted({p for s in period_sets.values() for p in s}), harmonics)
     columns = F.array(F.lit(1.0), *_wave_columns(F.col("_j"), waves))
     per_set = [*by_span, "set"]
-    errors = local.join(fits.select(*per_set, "coef", F.col("n").alias("_n")), by_span).select(
+    errors = match(local, fits.select(*per_set, "coef", F.col("n").alias("_n")), by_span).select(
         *per_set, "_at", "_j", "_n", (F.col(value) - dot(columns, F.col("coef"))).alias("_r")
     )
 
@@ -172,7 +173,7 @@ def harmonic_forecast(
     residual_fits = lagged_fit(
         errors, per_set, "_at", ["_r"], ar, design, fit, "phi array<double>, rss double, used bigint"
     )
-    models = settle(residual_fits.join(fits.select(*per_set, "coef"), per_set))
+    models = settle(match(residual_fits, fits.select(*per_set, "coef"), per_set))
     free = F.aggregate("coef", F.lit(0), lambda a, c: a + F.when(c != 0, 1).otherwise(0))
     aic = F.col("used") * F.log(F.col("rss") / F.col("used")) + 2 * (free + ar + 1)
     scored = models.where(F.col("phi").isNotNull()).withColumn("aic", aic)
@@ -181,11 +182,11 @@ def harmonic_forecast(
         F.min_by(F.struct("set", "phi", "rss", "used", "coef"), F.struct("aic", "set")).alias("_b")
     ).select(*by_span, "_b.*")
     if isinstance(horizon, DataFrame):
-        best = best.join(horizon.select(*keys, "horizon"), keys)
+        best = match(best, horizon.select(*keys, "horizon"), keys)
     else:
         best = best.withColumn("horizon", F.lit(horizon))
     ends = local.groupBy(*by_span).agg(F.max("_j").alias("_last"))
-    tail = errors.join(best, per_set).join(ends, by_span).where(F.col("_j") > F.col("_last") - ar)
+    tail = match(match(errors, best, per_set), ends, by_span).where(F.col("_j") > F.col("_last") - ar)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_j", ignore_index=True)

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.functions.blocks import running_totals, value_splits
+from loomcast.functions.blocks import BLOCK_VALUES, running_totals, value_splits
+from loomcast.functions.joins import attach
 from loomcast.functions.tails import chi2_tail, f_tail, normal_score
 from loomcast.operators.spectrum import acf
+from loomcast.session import settle
 
 
 def ks_two_sample(
@@ -19,7 +21,7 @@ def ks_two_sample(
     value: str,
     first,
     second,
-    max_rows: int = 4_000_000,
+    max_rows: int = BLOCK_VALUES,
 ) -> DataFrame:
     """(keys, n1, n2, statistic, p_value): largest gap between two empirical distributions.
 
@@ -28,10 +30,12 @@ def ks_two_sample(
     """
     keys = list(keys)
     sample = df.where(F.col(value).isNotNull() & F.col(group).isin(first, second))
-    splits = value_splits(sample, value, max_rows)
-    counts = sample.groupBy(*keys, value).agg(
-        F.count_if(F.col(group) == first).alias("a"), F.count_if(F.col(group) == second).alias("b")
+    counts = settle(
+        sample.groupBy(*keys, value).agg(
+            F.count_if(F.col(group) == first).alias("a"), F.count_if(F.col(group) == second).alias("b")
+        )
     )
+    splits = value_splits(counts, value, max_rows)
     running = (
         running_totals(counts, keys, value, ["a", "b"], splits)
         .withColumnRenamed("a_total", "n1")
@@ -93,19 +97,19 @@ def standardized_residuals(
 ) -> DataFrame:
     """Residual over its population standard deviation."""
     spread = df.groupBy(*keys).agg(F.stddev_pop(resid).alias("_sd"))
-    return df.join(spread, list(keys)).select(
+    return attach(df, spread, keys).select(
         *df.columns, (F.col(resid) / F.nullif(F.col("_sd"), F.lit(0.0))).alias(out)
     )
 
 
 def quantile_pairs(
-    df: DataFrame, keys: Sequence[str], value: str, max_rows: int = 4_000_000
+    df: DataFrame, keys: Sequence[str], value: str, max_rows: int = BLOCK_VALUES
 ) -> DataFrame:
     """(keys, value, n, theory): each distinct value beside the normal quantile of its last rank."""
     keys = list(keys)
     sample = df.where(F.col(value).isNotNull()).select(*keys, value)
-    splits = value_splits(sample, value, max_rows)
-    counts = sample.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(sample.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")))
+    splits = value_splits(counts, value, max_rows)
     ranked = running_totals(counts, keys, value, ["n"], splits)
     place = (F.col("n_below") + F.col("n")) / (F.col("n_total") + 1)
     return ranked.select(*keys, value, "n", normal_score(place).alias("theory"))

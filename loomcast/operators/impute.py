@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from loomcast.functions.blocks import BLK, Cut, known_bound, position
 from loomcast.functions.curves import spline_moments
 from loomcast.functions.grouped import per_group, to_null
+from loomcast.functions.joins import match
 from loomcast.operators.profile import nrmse_expression
 from loomcast.operators.windows import fill_candidates, linear_value, neighbours
 from loomcast.session import settle
@@ -37,7 +38,7 @@ def _spline_pieces(df: DataFrame, keys: Sequence[str], pos: str, value: str) ->
         df.where(F.col(value).isNotNull()).select(*keys, pos, value), keys, pos, "_j"
     )
     sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
-    cut = Cut(known.join(sizes, keys), keys, "_j", _KNOT_HALO, _KNOT_HALO, _KNOT_BLOCK).rows
+    cut = Cut(match(known, sizes, keys), keys, "_j", _KNOT_HALO, _KNOT_HALO, _KNOT_BLOCK).rows
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_j", ignore_index=True)
@@ -138,7 +139,7 @@ def fill_all(
     at_knot = around.withColumn(
         "knot", F.when(F.col(value).isNull() & F.col("_next").isNotNull(), F.col("_prev.p"))
     )
-    return at_knot.join(pieces, [*keys, "knot"], "left").select(
+    return match(at_knot, pieces, [*keys, "knot"], "left").select(
         *df.columns, *fills, _spline_value(pos, value).alias("cubic")
     )
 
@@ -168,7 +169,7 @@ def holdout_mask(
             .where(F.col("_rank") <= n)
             .select(*keys, "j", F.lit(True).alias("_hit"))
         )
-        marked = drawn.join(picked, [*keys, "j"], "left").withColumn(
+        marked = match(drawn, picked, [*keys, "j"], "left").withColumn(
             "hidden", F.coalesce("_hit", F.lit(False))
         )
     return marked.select(
@@ -235,7 +236,7 @@ def impute_chosen(
     parts = [F.col(value), picked]
     if not strict:
         parts += [F.col("linear"), F.col("ffill"), F.col("bfill")]
-    return tried.join(choice.select(*keys, "method"), keys, "left").select(
+    return match(tried, choice.select(*keys, "method"), keys, "left").select(
         *df.columns, "method", F.coalesce(*parts).alias(out)
     )
 

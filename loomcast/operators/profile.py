@@ -8,7 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.functions.blocks import quantiles, value_counts
+from loomcast.functions.blocks import BLOCK_VALUES, quantiles, value_counts
+from loomcast.functions.joins import attach
 
 
 def missing_profile(
@@ -101,12 +102,11 @@ def mean_encode(
 ) -> DataFrame:
     """Replace a category by the mean target of that category.
 
-    The means join back as an ordinary equi join: adaptive execution broadcasts
-    them when they turn out small and splits hot categories when they do not.
+    The means are measured before they join back, see ``attach``.
     """
     on = [*keys, col]
     means = df.groupBy(*on).agg(F.avg(target).alias("_mean"))
-    joined = df.join(means, on, "left")
+    joined = attach(df, means, on)
     if out is None:
         return joined.select(*[F.col("_mean").alias(c) if c == col else F.col(c) for c in df.columns])
     return joined.select(*df.columns, F.col("_mean").alias(out))
@@ -123,7 +123,7 @@ def skewness(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> Da
 def log_shift(df: DataFrame, keys: Sequence[str], col: str, out: str = "logged") -> DataFrame:
     """``log(x + |min| + 1)``, the minimum taken per key."""
     lows = df.groupBy(*keys).agg(F.min(col).alias("_low"))
-    return df.join(lows, list(keys)).select(
+    return attach(df, lows, keys).select(
         *df.columns, F.log(F.col(col) + F.abs("_low") + F.lit(1.0)).alias(out)
     )
 
@@ -133,7 +133,7 @@ def log_shift_if_skewed(df: DataFrame, keys: Sequence[str], col: str, out: str =
     marks = df.groupBy(*keys).agg(F.min(col).alias("_low"), F.skewness(col).alias("_skew"))
     shifted = F.log(F.col(col) + F.abs("_low") + F.lit(1.0))
     wanted = (F.abs("_skew") > 1) & (F.col("_low") <= 0)
-    return df.join(marks, list(keys)).select(
+    return attach(df, marks, keys).select(
         *df.columns, F.when(wanted, shifted).otherwise(F.col(col)).alias(out)
     )
 
@@ -155,7 +155,7 @@ def apply_scaler(
         / F.when(F.col(f"std_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"std_{c}"))
         for c in cols
     }
-    return df.join(scaler, list(keys)).select(
+    return attach(df, scaler, keys, "inner").select(
         *[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns]
     )
 
@@ -173,7 +173,7 @@ def minmax_scale(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Dat
     for c in cols:
         span = F.col(f"_hi_{c}") - F.col(f"_lo_{c}")
         scaled[c] = (F.col(c) - F.col(f"_lo_{c}")) / F.when(span == 0, F.lit(1.0)).otherwise(span)
-    return df.join(spans, list(keys)).select(
+    return attach(df, spans, keys).select(
         *[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns]
     )
 
@@ -181,7 +181,7 @@ def minmax_scale(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Dat
 def max_scale(df: DataFrame, keys: Sequence[str], col: str, out: str = "scaled") -> DataFrame:
     """``y / max(y)`` per key."""
     tops = df.groupBy(*keys).agg(F.max(col).alias("_top"))
-    return df.join(tops, list(keys)).select(
+    return attach(df, tops, keys).select(
         *df.columns, (F.col(col) / F.nullif(F.col("_top"), F.lit(0.0))).alias(out)
     )
 
@@ -201,7 +201,7 @@ def assert_complete(df: DataFrame, cols: Sequence[str], what: str = "imputation"
     return df
 
 
-def ecdf(df: DataFrame, keys: Sequence[str], col: str, max_rows: int = 4_000_000) -> DataFrame:
+def ecdf(df: DataFrame, keys: Sequence[str], col: str, max_rows: int = BLOCK_VALUES) -> DataFrame:
     """Empirical distribution: each distinct value with its count and share at or below it.
 
     Equal observations share one step, whose height is that of the last of them.
@@ -219,8 +219,7 @@ def histogram(df: DataFrame, keys: Sequence[str], col: str, bins: int = 10) -> D
         F.least(F.floor((F.col(col) - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
     )
     return (
-        df.where(F.col(col).isNotNull())
-        .join(spans, list(keys))
+        attach(df.where(F.col(col).isNotNull()), spans, keys)
         .groupBy(*keys, place.cast("int").alias("bin"))
         .agg(
             F.first(F.col("_lo") + place * width).alias("bin_start"),
@@ -229,7 +228,7 @@ def histogram(df: DataFrame, keys: Sequence[str], col: str, bins: int = 10) -> D
     )
 
 
-def boxplot_stats(df: DataFrame, keys: Sequence[str], col: str, max_rows: int = 4_000_000) -> DataFrame:
+def boxplot_stats(df: DataFrame, keys: Sequence[str], col: str, max_rows: int = BLOCK_VALUES) -> DataFrame:
     """Quartiles and the outermost values within 1.5 interquartile ranges."""
     counts = value_counts(df, keys, col, max_rows)
     quarters = quantiles(counts, keys, col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
@@ -237,7 +236,7 @@ def boxplot_stats(df: DataFrame, keys: Sequence[str], col: str, max_rows: int =
     low = F.min(F.when(F.col(col) >= F.col("q1") - reach, F.col(col)))
     high = F.max(F.when(F.col(col) <= F.col("q3") + reach, F.col(col)))
     return (
-        counts.join(quarters.drop("n"), list(keys))
+        attach(counts, quarters.drop("n"), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(low.alias("whisker_low"), high.alias("whisker_high"))
     )

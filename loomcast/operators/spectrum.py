@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.blocks import BLK, Cut, known_bound, position, with_totals
 from loomcast.functions.grouped import per_group, per_series
+from loomcast.functions.joins import match
 
 Z95 = 1.959963984540054
 PRODUCT_BLOCK = 65_536
@@ -231,6 +232,6 @@ def significant_auto_lags(
     keys = list(keys)
     auto = acf(df, keys, pos, value, min_lag + window)
     partial = pacf_from_acf(auto, keys).withColumnRenamed("half_width", "pacf_half_width").drop("n")
-    joined = auto.join(partial, [*keys, "lag"])
+    joined = match(auto, partial, [*keys, "lag"])
     out = (F.abs("acf") >= F.col("half_width")) | (F.abs("pacf") >= F.col("pacf_half_width"))
     return joined.where((F.col("lag") > min_lag) & out).select(*keys, "lag", "acf", "pacf")

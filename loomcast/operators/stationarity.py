@@ -13,6 +13,7 @@ from loomcast.functions.blocks import Cut, known_bound, position, with_totals
 from loomcast.functions.gram import Summed, lags, lagged_fit, solve
 from loomcast.functions.grouped import to_null
 from loomcast.functions.tails import adf_p
+from loomcast.functions.joins import match
 
 LONGEST = 1_000_000_000
 
@@ -155,9 +156,10 @@ def difference_until_stationary(
     keys = list(keys)
     tests = adf_by_difference(df, keys, pos, value, max_d)
     passed = F.col("p_value") <= alpha
-    first = F.coalesce(F.min(F.when(passed, F.col("d"))), F.lit(max_d))
+    # a series without any test, such as a constant one, is left as it is
+    first = F.when(F.count("p_value") > 0, F.coalesce(F.min(F.when(passed, F.col("d"))), F.lit(max_d))).otherwise(0)
     order = tests.groupBy(*keys).agg(first.alias("n_diff"))
-    report = order.join(tests.withColumnRenamed("d", "n_diff"), [*keys, "n_diff"]).select(
+    report = match(order, tests.withColumnRenamed("d", "n_diff"), [*keys, "n_diff"], "left").select(
         *keys, "n_diff", "adf_stat", "p_value"
     )
     known = position(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.curves import kendall_s, median_slope
 from loomcast.functions.grouped import per_series, to_null
+from loomcast.functions.joins import attach
 from loomcast.functions.tails import normal_sf
 
 Z95 = 1.959963984540054
@@ -22,12 +23,13 @@ def mann_kendall(
     """(keys, n, s, var_s, z, p_value, trend, slope, intercept) per series.
 
     Pairs are counted by merging, never listed: the sum of signs and the median
-    slope each cost a few sorts of the series.  Missing values are left out; the
-    slope runs over the ranks of the known values.
+    slope each cost a few sorts of the series.  Missing values are left out; slope
+    and intercept run over the positions, so gaps keep their width.
     """
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf[value].dropna().to_numpy(float)
+        known = pdf[pdf[value].notna()]
+        y, x = known[value].to_numpy(float), known[pos].to_numpy(float)
         n = len(y)
         row = dict(n=n, s=0, var_s=0.0, z=0.0, p_value=1.0, trend="no trend")
         row.update(slope=np.nan, intercept=np.nan)
@@ -39,9 +41,9 @@ def mann_kendall(
             p = float(2 * normal_sf(abs(z)))
             if p < alpha:
                 row["trend"] = "increasing" if z > 0 else "decreasing"
-            slope = median_slope(y)
+            slope = median_slope(y, x)
             row.update(s=s, var_s=var, z=z, p_value=p, slope=slope)
-            row["intercept"] = np.median(y) - slope * (n - 1) / 2
+            row["intercept"] = np.median(y) - slope * np.median(x)
         return pd.DataFrame([row])
 
     extra = (
@@ -64,13 +66,13 @@ def detrend_mk(
     before = mann_kendall(df, keys, pos, value)
     marks = before.select(*keys, "trend", "slope", "intercept")
     line = F.col("intercept") + F.col("slope") * F.col(pos)
-    changed = df.join(marks, keys, "left").select(
+    changed = attach(df, marks, keys).select(
         *df.columns,
         F.when(F.col("trend") != "no trend", F.col(value) - line).otherwise(F.col(value)).alias(out),
     )
     after = mann_kendall(changed, keys, pos, out).select(*keys, F.col("trend").alias("_after"))
     trended = F.col("trend") != "no trend"
-    report = marks.join(after, keys).select(
+    report = attach(marks, after, keys).select(
         *keys,
         F.col("trend").alias("pre_trend"),
         F.when(trended, F.col("slope")).alias("slope"),
@@ -106,7 +108,7 @@ def detrend_ols(
     fit = ols_trend(df, keys, pos, value).drop("n")
     line = F.col("intercept") + F.col("slope") * (F.col(pos) + 1)
     strong = F.coalesce(F.abs("t_value") > Z95, F.lit(False))
-    return df.join(fit, keys, "left").select(
+    return attach(df, fit, keys).select(
         *df.columns,
         F.when(strong, F.col(value) - line).otherwise(F.col(value)).alias(out),
         strong.alias("d_trend"),

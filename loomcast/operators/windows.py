@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcast.functions.blocks import BLK, Cut, block_of, order_statistics, value_counts
+from loomcast.functions.blocks import BLK, BLOCK_VALUES, Cut, block_of, order_statistics, value_counts
+from loomcast.functions.joins import attach, match
 
 
 def neighbours(
@@ -57,7 +58,7 @@ def neighbours(
         F.last("_first", ignorenulls=True).over(by_block_desc.rowsBetween(*before)).alias("_cn"),
     )
     return (
-        local.join(carry, [*keys, BLK])
+        match(local, carry, [*keys, BLK])
         .withColumns({"_prev": F.coalesce("_prev", "_cp"), "_next": F.coalesce("_next", "_cn")})
         .drop(BLK, "_cp", "_cn")
     )
@@ -190,7 +191,7 @@ def moving_peaks(
 
 
 def winsorize_upper(
-    df: DataFrame, keys: Sequence[str], value: str, pct: float, out: str = "capped", max_rows: int = 4_000_000
+    df: DataFrame, keys: Sequence[str], value: str, pct: float, out: str = "capped", max_rows: int = BLOCK_VALUES
 ) -> DataFrame:
     """Lower the top ``floor(n * pct / 100)`` values to the next lower order statistic."""
     keys = list(keys)
@@ -198,7 +199,7 @@ def winsorize_upper(
     cut = F.floor(F.col("_total") * F.lit(float(pct)) / F.lit(100.0))
     caps = order_statistics(counts, keys, value, {"_cap": F.col("_total") - cut - 1})
     capped = F.when(F.col(value).isNotNull(), F.least(F.col(value), F.col("_cap")))
-    return df.join(caps, keys, "left").select(*df.columns, capped.alias(out))
+    return attach(df, caps, keys).select(*df.columns, capped.alias(out))
 
 
 def clip_negative(df: DataFrame, value: str, out: str | None = None) -> DataFrame:
