@@ -112,6 +112,7 @@ def _requests(block: int, orders: list[tuple[int, np.ndarray, np.ndarray]], owne
             yield int(owner), order, block, _packed(keys[part]), _packed_counts(counts[part])
 
 
+ANSWER = "block int, sort int, owner int, counts binary"
 REQUEST = "owner int, sort int, block int, keys binary, counts binary"
 
 
@@ -155,10 +156,12 @@ def _answer(table: pa.Table) -> pa.Table:
     known, which = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.bincount(which, weights=np.concatenate(counts), minlength=len(known)).astype(np.int64)
     told, rows, last = sums[which], [], 0
-    for sort, block, own in zip(table.column("sort").to_pylist(), table.column("block").to_pylist(), keys):
-        rows.append((block, sort, _packed(own), _packed_counts(told[last : last + len(own)])))
+    names = [table.column(c).to_pylist() for c in ("block", "sort", "owner")]
+    for block, sort, owner, own in zip(*names, keys):
+        # a block knows its keys: their sums in the same order are enough
+        rows.append((block, sort, owner, _packed_counts(told[last : last + len(own)])))
         last += len(own)
-    return _to_table(rows, "block int, sort int, keys binary, counts binary")
+    return _to_table(rows, ANSWER)
 
 
 class Automaton:
@@ -227,13 +230,17 @@ def score_documents(
     def read(key, texts, answers):
         if not texts.num_rows:
             return _to_table([], SCORES)
+        words, pairs = [], []
+        for part in slices(texts.to_batches(), "text"):
+            tokens, places = token_hashes(part.column("text"))
+            words.append(np.unique(tokens))
+            pairs.append(np.unique(pair_hashes(tokens, places)))
         known = {}
-        for sort in (1, 2):
-            own = answers.filter(pc.equal(answers.column("sort"), sort))
-            lists = [_unpacked(raw) for raw in own.column("keys").to_pylist()]
+        for sort, parts in ((1, words), (2, pairs)):
+            # owners have ranges of the keys: in their order the sums follow the sorted keys
+            own = answers.filter(pc.equal(answers.column("sort"), sort)).sort_by("owner")
             counts = [_unpacked_counts(raw) for raw in own.column("counts").to_pylist()]
-            order = np.argsort([x[0] for x in lists])  # owners have ranges: in order of their first keys
-            known[sort] = (np.concatenate([lists[k] for k in order]), np.concatenate([counts[k] for k in order]))
+            known[sort] = (np.unique(np.concatenate(parts)), np.concatenate(counts))
         automaton = Automaton(*known[1], *known[2], n, v, starts, mass)
         out = []
         for part in slices(texts.to_batches(), "text"):
@@ -244,7 +251,7 @@ def score_documents(
         return pa.Table.from_batches(out)
 
     requests = dealt.groupBy("block").applyInArrow(ask, REQUEST)
-    answers = requests.groupBy("owner", "sort").applyInArrow(_answer, "block int, sort int, keys binary, counts binary")
+    answers = requests.groupBy("owner", "sort").applyInArrow(_answer, ANSWER)
     scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(read, SCORES)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"
