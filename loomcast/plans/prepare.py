@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomcast.functions.joins import attach, match
 from loomcast.operators.decompose import deseasonalize
 from loomcast.operators.impute import impute_easy
 from loomcast.operators.models import impute_difficult
@@ -42,10 +43,13 @@ def impute_panel(
     seed: int = 42,
     folds: int = 5,
 ) -> tuple[DataFrame, DataFrame]:
-    """Fill every feature: window methods for easy columns, a model contest for difficult ones.
+    """Fill every feature: window methods where a series misses little, a model contest elsewhere.
 
-    A column is difficult if any series misses at least ``threshold`` percent of it;
-    that list, one entry per column, is all the driver reads.
+    A column is difficult in the series that miss at least ``threshold`` percent of it and
+    easy in the others, where it gets the series' best window method.  The model of a
+    difficult column learns from the columns that are easy in every series; where there is
+    none, from window fills of all other columns, which serve as features only.  The
+    driver reads one entry per column.
     """
     keys, features = list(keys), list(features)
     profile = split_easy_difficult(missing_profile(df, features, keys), threshold)
@@ -53,17 +57,33 @@ def impute_panel(
     easy = [c for c in features if {r["variable"]: r["easy"] for r in per_column}[c]]
     hard = [c for c in features if c not in easy]
     rest = [c for c in df.columns if c not in features]
-    long = to_long(df, [*keys, pos], easy)
-    filled = impute_easy(long, [*keys, "variable"], pos, "value", n, seed)
-    wide = to_matrix(filled, [*keys, pos], "variable", "filled", easy)
-    done = settle(df.select(*rest, *hard).join(wide, [*keys, pos]))
+    by_variable = [*keys, "variable"]
+    long = to_long(df, [*keys, pos], features if not easy else _easy_anywhere(profile, features))
+    filled = attach(impute_easy(long, by_variable, pos, "value", n, seed), profile.select(*by_variable, "easy"), by_variable)
+    filled = settle(filled.withColumn("_own", F.when(F.col("easy"), F.col("filled")).otherwise(F.col("value"))))
+    named = [r["variable"] for r in filled.select("variable").distinct().collect()]
+    wide = to_matrix(filled, [*keys, pos], "variable", "_own", named)
+    done = match(df.select(*rest, *[c for c in features if c not in named]), wide, [*keys, pos])
+    helpers = []
+    if not easy:
+        guesses = to_matrix(filled, [*keys, pos], "variable", "filled", features)
+        helpers = [f"_by_window_{c}" for c in features]
+        done = match(done, guesses.withColumnsRenamed(dict(zip(features, helpers))), [*keys, pos])
+    done = settle(done)
     for target in hard:
-        done = impute_difficult(done, keys, pos, target, easy, grid, n, seed, folds)[0].drop("method")
+        known = easy or [h for h, c in zip(helpers, features) if c != target]
+        done = impute_difficult(done, keys, pos, target, known, grid, n, seed, folds)[0].drop("method")
         done = settle(done)
+    done = done.drop(*helpers).select(*rest, *features)
     assert_complete(done, features)
     return done, profile
 
 
+def _easy_anywhere(profile: DataFrame, features: Sequence[str]) -> list[str]:
+    found = {r["variable"] for r in profile.where("easy").select("variable").distinct().collect()}
+    return [c for c in features if c in found]
+
+
 def prepare_panel(
     df: DataFrame,
     keys: Sequence[str],

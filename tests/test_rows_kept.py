@@ -112,3 +112,24 @@ def test_rank_trend_over_gaps(spark):
 def test_constant_series_is_not_differenced(uneven):
     _, report = difference_until_stationary(uneven.where("k = 'constant'"), ["k"], "i", "v")
     assert [r.n_diff for r in report.collect()] == [0]
+
+
+def test_panel_where_no_column_is_easy_everywhere(spark):
+    from loomcast.plans.prepare import impute_panel
+
+    draw, rows = np.random.default_rng(5), []
+    for name, gappy in (("p", "a"), ("q", "b")):
+        for i in range(120):
+            cell = {c: float(10 + np.sin(i / 9) + 0.05 * draw.normal()) for c in ("a", "b")}
+            if i % 9 == 4 and 0 < i < 119:
+                cell[gappy] = None
+            rows.append((name, i, cell["a"], cell["b"]))
+    table = series_index(spark.createDataFrame(rows, "k string, h long, a double, b double"), ["k"], "h", span=(0, 1000))
+    grid = {"numTrees": [5], "maxDepth": [3]}
+    done, profile = impute_panel(table, ["k"], "i", ["a", "b"], grid=grid, n=10, folds=2)
+    assert done.count() == 240 and done.where("a is null or b is null").count() == 0
+    assert profile.where("not easy").count() == 2
+    before = {(r.k, r.i): (r.a, r.b) for r in table.collect()}
+    for r in done.collect():
+        for old, new in zip(before[r.k, r.i], (r.a, r.b)):
+            assert new == old if old is not None else abs(new - 10 - np.sin(r.i / 9)) < 0.5
