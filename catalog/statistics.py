@@ -319,16 +319,21 @@ def _(spark, sf):
 # ---- tests -----------------------------------------------------------------------------
 
 
-@query(
-    "ks_two_sample",
-    "WITH v AS (SELECT l_linestatus AS k, l_extendedprice AS x, l_returnflag = 'A' AS a FROM lineitem WHERE l_returnflag IN ('A', 'N')), "
+# two-sample test of the rows of v (k, x, a: from the first sample)
+_KS = (
     "c AS (SELECT k, x, sum(a::INT) AS na, sum((NOT a)::INT) AS nb FROM v GROUP BY k, x), "
     "r AS (SELECT k, sum(na) OVER w AS ca, sum(nb) OVER w AS cb, sum(na) OVER (PARTITION BY k) AS ta, sum(nb) OVER (PARTITION BY k) AS tb "
     "FROM c WINDOW w AS (PARTITION BY k ORDER BY x))"
     ", d AS (SELECT k, CAST(ta AS BIGINT) AS n1, CAST(tb AS BIGINT) AS n2, max(abs(CAST(ca AS DOUBLE) / ta - CAST(cb AS DOUBLE) / tb)) AS d "
     "FROM r GROUP BY k, ta, tb), e AS (SELECT *, d * sqrt(n1 * n2 / (n1 + n2)::DOUBLE) AS u FROM d) "
     "SELECT k, n1, n2, round(d, 10) AS statistic, round(CASE WHEN u < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, "
-    "list_sum(list_transform(generate_series(1, 100), lambda j: (CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END) * exp(-2.0 * j * j * u * u))))) END, 8) AS p_value FROM e",
+    "list_sum(list_transform(generate_series(1, 100), lambda j: (CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END) * exp(-2.0 * j * j * u * u))))) END, 8) AS p_value FROM e"
+)
+
+
+@query(
+    "ks_two_sample",
+    "WITH v AS (SELECT l_linestatus AS k, l_extendedprice AS x, l_returnflag = 'A' AS a FROM lineitem WHERE l_returnflag IN ('A', 'N')), " + _KS,
 )
 def _(spark, sf):
     lines = table(spark, sf, "lineitem").withColumnRenamed("l_linestatus", "k")
@@ -336,7 +341,10 @@ def _(spark, sf):
     return rounded(rounded(found, 10, "statistic"), 8, "p_value")
 
 
-@query("ks_two_halves")
+@query(
+    "ks_two_halves",
+    f"WITH {WEEKLY}, v AS (SELECT k, y AS x, i < count(*) OVER (PARTITION BY k) // 2 AS a FROM s), " + _KS.replace("round(d, 10)", "round(d, 8)"),
+)
 def _(spark, sf):
     halves = split_half(weekly(spark, sf), ["k"], "i")
     found = H.ks_two_sample(halves, ["k"], "part", "y", "first", "second")
@@ -354,9 +362,15 @@ def _(spark, sf):
     return rounded(H.anova_oneway(lines, ["k"], "l_returnflag", "l_extendedprice").drop("p_value"), 4, "f")
 
 
-@query("anova_p_value")
+@query(
+    "anova_p_value",  # with three groups the tail has a closed form
+    "WITH g AS (SELECT l_shipdate IS NOT NULL AS k, l_returnflag AS g, count(*)::DOUBLE AS n, avg(l_quantity) AS m, var_pop(l_quantity) AS v "
+    "FROM lineitem GROUP BY 1, 2), a AS (SELECT k, count(*) AS groups, sum(n) AS n, sum(n * v) AS within, sum(n * m * m) - power(sum(n * m), 2) / sum(n) AS between "
+    "FROM g GROUP BY k), f AS (SELECT k, CAST(groups AS BIGINT) AS groups, CAST(n AS BIGINT) AS n, (between / (groups - 1)) / (within / (n - groups)) AS f FROM a) "
+    "SELECT k, groups, n, round(f, 4) AS f, round(power(1 + 2 * f / (n - 3), -(n - 3) / 2.0), 4) AS p_value FROM f WHERE groups = 3",
+)
 def _(spark, sf):
-    lines = table(spark, sf, "lineitem").withColumnRenamed("l_linestatus", "k")
+    lines = table(spark, sf, "lineitem").withColumn("k", F.col("l_shipdate").isNotNull())
     return rounded(H.anova_oneway(lines, ["k"], "l_returnflag", "l_quantity"), 4, "f", "p_value")
 
 
@@ -368,9 +382,13 @@ def _(spark, sf):
     return rounded(H.ljung_box(weekly(spark, sf), ["k"], "i", "y", 4).drop("p_value"), 8, "q")
 
 
-@query("ljung_box_p_value")
+@query(
+    "ljung_box_p_value",
+    f"WITH {WEEKLY}, {_acf('s', 'y', 2)}, q AS (SELECT k, CAST(n AS BIGINT) AS n, n * (n + 2) * sum(r * r / (n - h)) AS q FROM bd WHERE h > 0 GROUP BY k, n) "
+    "SELECT k, n, round(q, 8) AS q, round(exp(-q / 2), 8) AS p_value FROM q",
+)
 def _(spark, sf):
-    return rounded(H.ljung_box(weekly(spark, sf), ["k"], "i", "y", 1), 8, "q", "p_value")
+    return rounded(H.ljung_box(weekly(spark, sf), ["k"], "i", "y", 2), 8, "q", "p_value")
 
 
 @query(
