@@ -8,6 +8,7 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomcast.llm import exact_dedup, near_dedup, packing, pii, toxicity
 from loomcast.llm.common import keep, table
@@ -30,9 +31,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind (operator 6)."""
+    """All documents, with personal data replaced by its kind and n_chars brought up to date (operator 6)."""
     _, spans = pii.propose(docs)
-    return pii.redact(docs, pii.learn(spans))
+    clean = pii.redact(docs, pii.learn(spans))
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ def test_each_stage_on_its_own_input(spark):
             break
         assert docs.columns == columns
         after = {r.doc_id: r.text for r in docs.collect()}
+        assert docs.where("n_chars <> length(text)").count() == 0
         if name == "toxicity":
             gone = before.keys() - after.keys()
             assert gone and all(after[k] == before[k] for k in after)
