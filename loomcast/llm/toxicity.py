@@ -2,15 +2,18 @@
 
 Grades are ordered: 0 clean, 1 toxic, 2 toxic and of poor quality. One weight vector is
 shared by all thresholds: P(grade <= k) = sigmoid(threshold_k - w . x). x marks the
-words a text holds, and the words and word beginnings that it repeats at a rate of
-1 in 200. An L1 penalty leaves weight only on features that carry the grade, so a
-text's length alone moves nothing.
+words that a window of the text holds, and the words and word beginnings that it holds
+twice. The windows cover the whole text and the most severe one counts, so a toxic
+passage weighs the same in a short text and in a long clean one. No weight is negative:
+clean words beside a passage take nothing from it. An L1 penalty leaves weight only on
+features that carry the grade.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +31,8 @@ SAMPLE_ROWS = 6000
 WORDS = 4096
 #: A feature must occur in this many texts of the sample.
 LEAST_TEXTS = 5
-L1 = 0.004
+#: A feature needs about this share of the sample's texts to carry weight: 6 of 6,000.
+L1 = 0.001
 #: Penalty on squared weights when the chosen words are fitted again without the L1 shrinkage.
 RIDGE = 0.00005
 STEPS = 400
@@ -38,8 +42,11 @@ BANDS, BAND_ROWS, SHINGLE = 8, 3, 3
 #: Expected severity from which a document is rejected.
 REJECT_AT = 0.25
 
-#: A feature counts as repeated from this share of a text's words on, and from two on.
-RATE = 1 / 200
+#: Words of a window. A window starts at every half of one, so that a passage of up to half
+#: a window lies in one as a whole.
+WINDOW = 128
+#: Fits on each text's most severe window, after the first fit on whole texts.
+REFITS = 2
 #: Lengths of the word beginnings that count where they repeat.
 BEGINNINGS = (4, 5, 6, 7)
 #: Words whose features a scoring task remembers.
@@ -48,10 +55,9 @@ WORDS_HELD = 500_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_counts(text: str) -> tuple[Counter, int]:
-    """Counts of the lower-cased words (runs of letters), and their number."""
-    words = WORD.findall(text.lower())
-    return Counter(words), len(words)
+def words_of(text: str) -> list[str]:
+    """The lower-cased words: runs of letters."""
+    return WORD.findall(text.lower())
 
 
 def names_of(word: str) -> list[str]:
@@ -59,15 +65,28 @@ def names_of(word: str) -> list[str]:
     return [word + "."] + [word[:n] for n in BEGINNINGS if len(word) > n]
 
 
+def window_features(text: str, names: Callable[[str], tuple[str, ...] | list[str]] = names_of) -> Iterator[set[str]]:
+    """For each window: names of words held, and with % of words and beginnings held twice or more.
+
+    ``names`` gives the names that a word counts for. Windows without any are left out.
+    """
+    words, half = words_of(text), WINDOW // 2
+    told = {word: found for word in set(words) if (found := names(word))}
+    if not told:
+        return
+    halves: dict[int, Counter] = {}
+    for k, word in enumerate(words):
+        if word in told:
+            halves.setdefault(k // half, Counter()).update(told[word])
+    last, none = max(0, -(-len(words) // half) - 2), Counter()
+    for start in sorted({min(max(0, k), last) for own in halves for k in (own - 1, own)}):
+        counts = halves.get(start, none) + halves.get(start + 1, none)
+        yield {n for n in counts if n[-1] == "."} | {n + "%" for n, count in counts.items() if count >= 2}
+
+
 def features_of(text: str) -> set[str]:
-    """Names of words held, and with % of words and beginnings that repeat."""
-    counts, total = word_counts(text)
-    repeated: Counter = Counter()
-    for word, count in counts.items():
-        for name in names_of(word):
-            repeated[name] += count
-    least = max(2, total * RATE)
-    return {word + "." for word in counts} | {name + "%" for name, count in repeated.items() if count >= least}
+    """The features of all windows."""
+    return set().union(*window_features(text))
 
 
 @dataclass(frozen=True)
@@ -78,24 +97,17 @@ class OrdinalModel:
 
     def _telling(self, word: str) -> tuple[str, ...]:
         """The model's features that a word counts for; remembered."""
-        if len(self.known) > WORDS_HELD:
-            self.known.clear()
-        names = tuple(n for n in names_of(word) if n + "%" in self.weights or n in self.weights)
-        self.known[word] = names
+        names = self.known.get(word)
+        if names is None:
+            if len(self.known) > WORDS_HELD:
+                self.known.clear()
+            names = tuple(n for n in names_of(word) if n + "%" in self.weights or n in self.weights)
+            self.known[word] = names
         return names
 
     def _score(self, text: str) -> float:
-        counts, total = word_counts(text)
-        found: Counter = Counter()
-        for word, count in counts.items():
-            names = self.known.get(word)
-            for name in self._telling(word) if names is None else names:
-                found[name] += count
-        least = max(2, total * RATE)
-        return sum(
-            self.weights.get(name, 0.0) + (self.weights.get(name + "%", 0.0) if count >= least else 0.0)
-            for name, count in sorted(found.items())
-        )
+        scores = (sum(self.weights.get(n, 0.0) for n in sorted(held)) for held in window_features(text, self._telling))
+        return max(scores, default=0.0)
 
     def severity(self, texts: list[str]) -> np.ndarray:
         """Expected grade of each text: the sum of P(grade > k) over the thresholds."""
@@ -110,12 +122,14 @@ def severity_grade(toxic: Column, quality: Column) -> Column:
 
 
 def fit_ordinal(
-    lists: list[np.ndarray], grades: np.ndarray, width: int, l1: float = L1, ridge: float = 0.0, steps: int = STEPS
+    lists: list[np.ndarray], grades: np.ndarray, width: int, l1: float = L1, ridge: float = 0.0, steps: int = STEPS,
+    positive: bool = False,
 ):
     """Shared weights and ascending thresholds by accelerated proximal gradient.
 
     ``lists``: the words each text holds, as column numbers. Thresholds are kept in order
     through their gaps. Grades without a row are given the place of the next one.
+    ``positive`` keeps all weights at zero or above.
     """
     rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     cols = np.concatenate(lists).astype(np.int64) if len(lists) else np.zeros(0, np.int64)
@@ -142,6 +156,8 @@ def fit_ordinal(
         grad = np.bincount(cols, weights=by_score[rows], minlength=width) + ridge * z
         moved = z - step * grad
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0)
+        if positive:
+            new = np.maximum(new, 0)
         ahead = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         z, w, momentum = new + (momentum - 1) / ahead * (new - w), new, ahead
         theta = np.maximum.accumulate(theta - 2.0 * by_cut)
@@ -151,7 +167,7 @@ def fit_ordinal(
 
 def copy_bands(text: str) -> list[int]:
     """Hashes that near copies of a text share with high probability; none for an empty text."""
-    words = WORD.findall(text.lower())
+    words = words_of(text)
     if not words:
         return []
     grams = {" ".join(words[k : k + SHINGLE]) for k in range(max(1, len(words) - SHINGLE + 1))}
@@ -191,8 +207,40 @@ def _word_lists(batches):
             part.column("grade"),
             pa.array([sorted(features_of(t)) for t in texts], type=pa.list_(pa.string())),
             pa.array([copy_bands(t) for t in texts], type=pa.list_(pa.int64())),
+            part.column("text"),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "grade", "words", "bands"])
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "grade", "words", "bands", "text"])
+
+
+def severest(lists: DataFrame, place: dict[str, int], weights: np.ndarray) -> pd.DataFrame:
+    """Grade and feature numbers of each text's most severe window under ``weights``; none for a text without features."""
+
+    def names(word: str) -> list[str]:
+        return [n for n in names_of(word) if n in place or n + "%" in place]
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            found = []
+            for text in part.column("text").to_pylist():
+                held = (sorted(place[n] for n in own if n in place) for own in window_features(text or "", names))
+                found.append(max(held, key=lambda own: weights[own].sum(), default=[]))
+            columns = [part.column("grade"), pa.array(found, type=pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["grade", "words"])
+
+    return lists.select("grade", "text").mapInArrow(run, "grade int, words array<int>").toPandas()
+
+
+def _fit_twice(numbered: list[np.ndarray], grades: np.ndarray, width: int, l1: float):
+    """Weights and thresholds: L1 chooses the features, which are fitted again without its shrinkage."""
+    w, _ = fit_ordinal(numbered, grades, width, l1, positive=True)
+    used = np.flatnonzero(w > 1e-6)
+    again = np.full(width, -1)
+    again[used] = np.arange(len(used))
+    numbered = [again[x][again[x] >= 0] for x in numbered]
+    short, theta = fit_ordinal(numbered, grades, max(1, len(used)), 0.0, RIDGE, 10 * STEPS, positive=True)
+    w = np.zeros(width)
+    w[used] = short[: len(used)]
+    return w, theta
 
 
 def train(
@@ -207,7 +255,8 @@ def train(
 
     Every step is bounded by ``sample_rows``: the sample's ids are broadcast to the scan,
     word counts of its texts are summed by Spark, and only the numbers of the model's
-    ``words`` reach the driver for the fit. Repeated labels of a document use the highest
+    ``words`` reach the driver for the fit. The first fit is on whole texts, the next
+    ones on each text's most severe window so far, which is what a score is made of. Repeated labels of a document use the highest
     grade; rows without a label, null texts and empty tables are harmless: with no toxic
     label at all the model has no weights.
     """
@@ -217,14 +266,14 @@ def train(
     chosen = first.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample_rows)
     slim = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text")
     # a document id that is repeated must not raise the bound
-    shape = "doc_id long, grade int, words array<string>, bands array<long>"
+    shape = "doc_id long, grade int, words array<string>, bands array<long>, text string"
     slim = slim.withColumn("doc_id", F.col("doc_id").cast("long"))
     sample = keep(python_ready(slim).mapInArrow(_word_lists, shape).limit(sample_rows), "grades")
     told = sample.select("doc_id", "grade", "bands").orderBy("doc_id").collect()
     single = one_of_each([row["bands"] for row in told], [row["grade"] for row in told])
     pairs = [(told[k]["doc_id"], grade) for k, grade in single.items()]
     chosen = docs.sparkSession.createDataFrame(pairs, "doc_id long, grade int")
-    lists = sample.select("doc_id", "words").dropDuplicates(["doc_id"]).join(F.broadcast(chosen), "doc_id")
+    lists = sample.select("doc_id", "words", "text").dropDuplicates(["doc_id"]).join(F.broadcast(chosen), "doc_id")
     lists = keep(lists, "single")
     toxic = (F.col("grade") > 0).cast("long")
     sums = lists.agg(F.count(F.lit(1)).alias("n"), F.sum(toxic).alias("bad")).first()
@@ -244,14 +293,13 @@ def train(
     slim_lists = lists.select("grade", F.array_intersect("words", known).alias("words")).toPandas()
     grades = slim_lists["grade"].to_numpy(dtype=np.int64)
     numbered = [np.array([place[w] for w in ws], dtype=np.int64) for ws in slim_lists["words"]]
-    w, theta = fit_ordinal(numbered, grades, max(1, len(place)), l1)
-    used = np.flatnonzero(np.abs(w) > 1e-6)
-    again = np.full(len(w), -1)
-    again[used] = np.arange(len(used))
-    numbered = [again[x][again[x] >= 0] for x in numbered]
-    weights, theta = fit_ordinal(numbered, grades, max(1, len(used)), 0.0, RIDGE, 10 * STEPS)
-    names = sorted(place)
-    return OrdinalModel({names[k]: float(weights[i]) for i, k in enumerate(used)}, tuple(map(float, theta)))
+    w, theta = _fit_twice(numbered, grades, max(1, len(place)), l1)
+    for _ in range(REFITS if w.any() else 0):
+        windows = severest(lists, place, w)
+        numbered = [np.array(own, dtype=np.int64) for own in windows["words"]]
+        w, theta = _fit_twice(numbered, windows["grade"].to_numpy(dtype=np.int64), max(1, len(place)), l1)
+    weights = {name: float(w[k]) for name, k in place.items() if w[k] > 1e-6}
+    return OrdinalModel(weights, tuple(map(float, theta)))
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

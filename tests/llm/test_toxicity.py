@@ -72,3 +72,32 @@ def test_copies_count_once():
     near = text.replace(" banx", " bann", 1)
     groups = toxicity.one_of_each([toxicity.copy_bands(t) for t in (text, near, " ".join(some_words(5, 300)), "")], [0, 1, 1, 0])
     assert len(groups) == 3
+
+
+def test_a_toxic_passage_counts_in_a_long_clean_text(spark):
+    """Recall by language, of words whose single forms are rare, with one passage in 6,000 clean words."""
+    starts = {"en": "grimm", "de": "schlecht", "fr": "réeux", "es": "bomente"}
+    forms = {lang: [start + a + b for a in "abcde" for b in "vwxyz"] for lang, start in starts.items()}
+    draw, rows, labels = random.Random(5), [], []
+    for k in range(1200):
+        words, toxic = some_words(500_000 + k, draw.randrange(40, 200)), int(k % 6 == 0)
+        if toxic:
+            lang = draw.choice(list(forms))
+            for _ in range(5):
+                words.insert(draw.randrange(len(words)), draw.choice(forms[lang]))
+        rows.append((k, " ".join(words)))
+        labels.append((k, 1, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    for lang, own in forms.items():
+        caught, wrong = [], []
+        for k in range(20):
+            clean = some_words(600_000 + k, 6000)
+            at, passage = draw.randrange(len(clean)), some_words(700_000 + k, 30)
+            for _ in range(4):
+                passage.insert(draw.randrange(len(passage)), draw.choice(own))
+            texts = [" ".join(clean[:at] + passage + clean[at:]), " ".join(clean)]
+            hit, miss = model.severity(texts) >= toxicity.REJECT_AT
+            caught.append(hit)
+            wrong.append(miss)
+        assert np.mean(caught) > 0.9 and not any(wrong), lang
