@@ -9,7 +9,8 @@ agree by chance, drops the far ones, and full sets decide the rest.
 A band's group is never turned into all its pairs. Hub rounds link its members to one
 of them each; what then lies outside the group's largest component is compared with the
 others block by block, by sketch, and the pairs that remain are checked in rounds until
-none is left across two components.
+none is left across two components. A group with many outsiders is first dealt anew by
+its members' rarest shingles, so that texts which only share a template do not meet.
 """
 
 from __future__ import annotations
@@ -41,6 +42,11 @@ LEAST_LINKED = LINK_ABOVE // (LINK_BELOW - LINK_ABOVE) + 1
 SLACK = 6.0
 #: Members of a band's group that are compared in one task at once.
 BLOCK = 512
+#: Blocks of members outside a group's largest component that are compared as they are; a group
+#: with more is dealt anew by its members' rarest shingles.
+ODD_BLOCKS = 8
+#: Slots in which the shingles of such members are counted, to order them by rarity.
+SLOTS = 1 << 20
 #: Sketches from this many filled registers on are trusted to drop a candidate.
 LEAST_FILLED = 32
 
@@ -211,26 +217,91 @@ def short_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "rep long, shingles binary")
 
 
+def main_roots(rows: DataFrame) -> DataFrame:
+    """(band, main_root, size, odd): each band's largest component, its members and those outside that component."""
+    sizes = rows.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("size"))
+    return main.select("band", F.col("m.root").alias("main_root"), "size", (F.col("size") - F.col("m.n")).alias("odd"))
+
+
+def prefix_members(texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """(band, place, rep, root): each class under its rarest shingles, one of which two linked classes must share.
+
+    Linked sets share LINK_ABOVE / LINK_BELOW of either one's shingles. In one order of all
+    shingles, the first ones of a set, as many as may be missing from the other and one
+    more, therefore meet those of the other. Any order loses nothing; here the shingles
+    of the fullest slots of a count over all ``reps`` come last.
+    """
+    held = texts.join(reps.select("rep"), "rep", "left_semi").select("rep", "text")
+
+    def count(batches):
+        full = np.zeros(SLOTS, dtype=np.int64)
+        for part in slices(batches, "text"):
+            for own in shingle_sets(part.column("text"), SHINGLE):
+                np.add.at(full, (own % np.uint64(SLOTS)).astype(np.int64), 1)
+        used = np.flatnonzero(full)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(full[used])], names=["slot", "n"])
+
+    counted = held.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    load = np.zeros(SLOTS, dtype=np.int64)
+    load[counted["slot"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
+
+    def first(batches):
+        for part in slices(batches, "text"):
+            out = []
+            for own in shingle_sets(part.column("text"), SHINGLE):
+                least = -(-LINK_ABOVE * len(own) // LINK_BELOW)
+                order = np.lexsort((own, load[(own % np.uint64(SLOTS)).astype(np.int64)]))
+                out.append(own[order[: len(own) - least + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(out, type=pa.list_(pa.int64()))], names=["rep", "rare"])
+
+    rows = held.mapInArrow(first, "rep long, rare array<long>").select("rep", F.explode("rare").alias("rare"))
+    rows = rows.select(F.xxhash64(F.lit(-1), "rare").alias("band"), F.lit(-1).alias("place"), "rep")
+    return rows.join(reps, "rep").select("band", "place", "rep", "root")
+
+
+def split_large(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The members to compare, without bands of many outsiders as far as rare shingles can take their place.
+
+    A pair of such a band is found under a rare shingle that both hold, if one of the two
+    has no rare shingle which is a band of many outsiders itself. Pairs of two classes that
+    have one stay in their band.
+    """
+    rows = rows.select("band", "place", "rep", "root")
+    many = F.col("odd") > ODD_BLOCKS * BLOCK
+    large = keep(main_roots(rows).filter(many).select("band"), "large")
+    if large.isEmpty():
+        return rows
+    inside = keep(rows.join(large, "band"), "inside")
+    rare = keep(prefix_members(texts, inside.select("rep", "root").distinct()), "rare")
+    heads = keep(main_roots(rare).filter("odd > 0"), "heads")
+    heavy = rare.join(heads.filter(many).select("band"), "band").select("rep").distinct()
+    stay = rows.join(large, "band", "left_anti").union(inside.join(heavy, "rep", "left_semi").select(*rows.columns))
+    return stay.union(rare.join(heads.filter(~many).select("band"), "band").select(*rows.columns))
+
+
 def block_pairs(rows: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Every pair of a band across two components that neither its estimate nor its sets drop.
 
     Members outside the band's largest component are compared with all members, block by
     block; the members of the largest component need no comparison among each other. A
     pair is looked at in the first band that it shares only. Short texts bring their
-    whole sets, so of these only true links go on.
+    whole sets, so of these only true links go on. Both sides are cut: a block has about
+    BLOCK members and the outsiders of ODD_BLOCKS blocks.
     """
-    sizes = rows.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = keep(sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("m")), "main")
-    main = main.select("band", F.col("m.root").alias("main_root"))
+    rows = keep(split_large(rows, texts), "split")
+    main = keep(main_roots(rows).filter("odd > 0"), "main")
     sets = keep(short_sets(texts), "sets")
     full = rows.join(main, "band").join(classes.select("rep", "registers", "n_shingles"), "rep").join(sets, "rep")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    targets = full.select(
-        "band", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.lit(False).alias("odd"),
+    chunks = F.ceil(F.col("odd") / (ODD_BLOCKS * BLOCK)).cast("int")
+    # the number of a block: that of its members, then that of its chunk of outsiders
+    targets = full.withColumn("_block", F.pmod(F.xxhash64("rep"), blocks).cast("long")).select(
+        "band", F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: F.col("_block") * chunks + c)).alias("block"), F.lit(False).alias("odd"),
         "place", "rep", "root", "registers", "n_shingles", "shingles",
     )
-    odd = full.filter("root <> main_root").select(
-        "band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("odd"),
+    odd = full.filter("root <> main_root").withColumn("_chunk", F.pmod(F.xxhash64("rep", F.lit(1)), chunks).cast("long")).select(
+        "band", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: b * chunks + F.col("_chunk"))).alias("block"), F.lit(True).alias("odd"),
         "place", "rep", "root", "registers", "n_shingles", "shingles",
     )
 
@@ -260,7 +331,8 @@ def block_pairs(rows: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
                     hit = estimate >= 0
                     near = np.flatnonzero(hit)
                     if len(near):
-                        hit[near] = _first_shared(codes[other[near]], codes[k], there[k]) == place[k]
+                        if place[k] >= 0:  # else a rare shingle, no band of registers
+                            hit[near] = _first_shared(codes[other[near]], codes[k], there[k]) == place[k]
                         for n in np.flatnonzero(hit):
                             if held[k] is not None and held[other[n]] is not None:
                                 hit[n] = _links(held[k], held[other[n]])

@@ -114,3 +114,41 @@ def test_contraction_finds_components(spark):
     got = components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.root for r in got.collect()} == {k: top(k) for k in list(root)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def blocks_written(spark, rows, monkeypatch):
+    """The result, and the rows that were written for the block comparison."""
+    counts, keep = {}, near_dedup.keep
+
+    def counted(df, name):
+        out = keep(df, name)
+        counts[name] = out.count() if name == "blocks" else 0
+        return out
+
+    monkeypatch.setattr(near_dedup, "keep", counted)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    monkeypatch.setattr(near_dedup, "keep", keep)
+    return sorted(map(tuple, got)), counts["blocks"]
+
+
+def test_a_common_template_does_not_grow_with_the_square(spark, monkeypatch):
+    """Texts at 0.6 of each other, with a few links among them."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "ODD_BLOCKS", 4, raising=False)
+    frame, draw = some_words(8, 150), random.Random(9)
+    texts = [frame + some_words(900_000 + k, 40) for k in range(320)]
+    texts += [changed(texts[k], draw, 1) for k in range(0, 320, 20)]
+    rows = [(k, " ".join(words)) for k, words in enumerate(texts)]
+    got, blocks = blocks_written(spark, rows, monkeypatch)
+    assert got == brute(rows)
+    assert blocks < 10 * len(rows)
+
+
+def test_many_outsiders_equal_brute_force(spark, groups, monkeypatch):
+    """Rare shingles in place of bands, with groups that stay large under them as well."""
+    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    for most in (1, 8):
+        monkeypatch.setattr(near_dedup, "ODD_BLOCKS", most)
+        got, _ = blocks_written(spark, groups, monkeypatch)
+        assert got == brute(groups)
