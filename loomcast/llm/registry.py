@@ -266,3 +266,13 @@ WITH t AS (
 SELECT conv_id, (place - 1) // 64 AS segment, any_value(n_turns) AS n_turns, string_agg(line, '' ORDER BY place) AS rendered
 FROM m JOIN p USING (conv_id) GROUP BY conv_id, (place - 1) // 64
 """
+
+
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.alignment import align_documents
+
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return align_documents(table(spark, sf_dir, "documents"), *paths, digest=True)
+
+
+QUERIES["op11_align"] = op11_align
