@@ -276,3 +276,12 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op11_align"] = op11_align
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op12_whitening"] = op12_whitening
