@@ -285,3 +285,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op12_whitening"] = op12_whitening
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomcast.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES["op13_quality"] = op13_quality
