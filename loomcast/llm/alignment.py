@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from loomcast.llm.common import keep, python_ready, slices
 
 #: Text bytes of a block; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Words and tokens that a Python worker remembers; beyond this it starts anew.
-WORDS_HELD, TOKENS_HELD = 400_000, 6_000_000
+WORDS_HELD, TOKENS_HELD = 300_000, 4_000_000
 #: Words in one call of the tokenizers.
 WORDS_A_CALL = 4096
 #: Links of a group up to which its pairs are written out; larger groups are counted by distinct ids.
