@@ -17,17 +17,19 @@ from __future__ import annotations
 import math
 import zlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import keep, python_ready, slices
+from loomcast.llm.common import python_ready, slices
 from loomcast.llm.shingles import mixed
+from loomcast.session import scratch_path
 
 #: Labelled rows used for the fit: those with the smallest hash of (doc_id, seed).
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 6000
 #: Buckets and numbers in a bucket's vector.
 BUCKETS, DIM = 1 << 15, 8
 #: Lengths of the character n-grams.
@@ -140,37 +142,48 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.bias + total / np.maximum(count, 1), -60, 60)))
 
 
-SAMPLE = "shard int, place long, good int, buckets binary, counts binary"
+SAMPLE = "place long, good int, buckets binary, counts binary"
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return zlib.compress(values.astype("<i4").tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), dtype="<i4")
 
 
 def _sampled(docs: DataFrame, chosen: DataFrame, seed: int) -> DataFrame:
     slim = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select("_id", "good", "text")
-    place = F.xxhash64("_id", F.lit(seed))
-    slim = slim.select(F.pmod(place, F.lit(SHARDS)).cast("int").alias("shard"), place.alias("place"), "good", "text")
+    slim = slim.select(F.xxhash64("_id", F.lit(seed)).alias("place"), "good", "text")
 
     def run(batches):
         for part in slices(batches, "text"):
             found = counted([t or "" for t in part.column("text").to_pylist()])
-            raw = [pa.array([x.astype("<i4").tobytes() for x in column], type=pa.binary()) for column in zip(*found)]
-            columns = [part.column(c) for c in ("shard", "place", "good")]
+            raw = [pa.array([_packed(x) for x in column], type=pa.binary()) for column in zip(*found)]
+            columns = [part.column(c) for c in ("place", "good")]
             yield pa.RecordBatch.from_arrays([*columns, *raw], names=[x.split()[0] for x in SAMPLE.split(", ")])
 
-    return python_ready(slim).mapInArrow(run, SAMPLE)
+    # a document id that is repeated must not raise the bound
+    return python_ready(slim).mapInArrow(run, SAMPLE).dropDuplicates(["place"])
 
 
 def _walker(held: tuple[bytes, np.ndarray], rate: float, first: int, passes: int):
     """What a shard does in one round: steps from the common parameters ``held``."""
 
-    def walk(table: pa.Table) -> pa.Table:
+    def walk(batches):
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts)
         own = np.frombuffer(zlib.decompress(held[0]), dtype=np.float32).reshape(BUCKETS, DIM).copy()
         top = held[1].copy()
         place = table.column("place").to_numpy().astype(np.uint64)
         good, buckets, counts = (table.column(c) for c in ("good", "buckets", "counts"))
         for again in range(first, first + passes):
             for k in np.argsort(mixed(place + _U(again)), kind="stable").tolist():
-                numbers = (np.frombuffer(c[k].as_py(), dtype="<i4") for c in (buckets, counts))
-                _step(own, top, *numbers, good[k].as_py(), rate)
-        return pa.table({"n": [len(place)], "vectors": [own.tobytes()], "layer": [top.tobytes()]})
+                _step(own, top, _unpacked(buckets[k].as_py()), _unpacked(counts[k].as_py()), good[k].as_py(), rate)
+        yield from pa.table({"n": [len(place)], "vectors": [own.tobytes()], "layer": [top.tobytes()]}).to_batches()
 
     return walk
 
@@ -189,8 +202,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ro
     known = known.filter(F.col("_id").isNotNull() & F.col("good").isin(0, 1) & ~held_out(F.col("_id")))
     known = known.groupBy("_id").agg(F.min("good").alias("good"))
     chosen = known.orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(sample_rows)
-    # a document id that is repeated must not raise the bound
-    sample = keep(_sampled(rows, chosen, seed).limit(sample_rows), "quality")
+    # one folder a shard, so that no round moves the sample again
+    path = scratch_path(docs.sparkSession, "quality")
+    dealt = _sampled(rows, chosen, seed).withColumn("shard", F.pmod("place", F.lit(SHARDS)).cast("int"))
+    dealt.write.partitionBy("shard").parquet(path)
+    sample = docs.sparkSession.read.schema(f"{SAMPLE}, shard int").parquet(path)
+    shards = [sample.where(F.col("shard") == k).drop("shard").coalesce(1) for k in range(SHARDS)]
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer = np.zeros((2, DIM + 1), dtype=np.float32)
@@ -198,7 +215,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ro
     for done in range(rounds):
         rate = RATE * (1 - done / rounds)
         step = _walker((zlib.compress(vectors.tobytes(), 1), layer), rate, done * passes, passes)
-        found = sample.groupBy("shard").applyInArrow(step, "n long, vectors binary, layer binary").collect()
+        made = [shard.mapInArrow(step, "n long, vectors binary, layer binary") for shard in shards]
+        found = reduce(DataFrame.unionAll, made).collect()
         if not found:
             break
         share = np.array([r["n"] for r in found]) / sum(r["n"] for r in found)
