@@ -30,17 +30,27 @@ CELLS = "slot int, path string, feature int, x double, n double, w double, wy do
 def assembled(found: pd.DataFrame, slots: int) -> tuple[Trees, list[str]]:
     """The trees of one series from the nodes grown so far, and the nodes' paths.
 
-    Slots without any node yet are roots that wait for their first cells.
+    Roots and children that have no node yet are leaves that wait for their cells.
     """
-    have = set(found["slot"].tolist())
-    waiting = pd.DataFrame({"slot": [k for k in range(slots) if k not in have]})
-    waiting = waiting.assign(path="", feature=-1, threshold=0.0, value=np.nan, rows=0)
-    known = found[["slot", "path", "feature", "threshold", "value", "rows"]]
-    table = pd.concat([known, waiting], ignore_index=True) if len(waiting) else known
-    table = table.assign(depth=table["path"].str.len()).sort_values(["depth", "slot", "path"], ignore_index=True)
-    place = {key: k for k, key in enumerate(zip(table["slot"], table["path"]))}
+    known = list(zip(found["slot"].tolist(), found["path"].tolist()))
+    cut = found["feature"].to_numpy() >= 0
+    have = set(known)
+    asked = [(k, "") for k in range(slots)] + [(s, p + side) for (s, p), f in zip(known, cut) if f for side in "LR"]
+    waiting = [x for x in asked if x not in have]
+    table = pd.DataFrame(
+        {
+            "slot": [s for s, _ in known + waiting],
+            "path": [p for _, p in known + waiting],
+            "feature": found["feature"].tolist() + [-1] * len(waiting),
+            "threshold": found["threshold"].tolist() + [0.0] * len(waiting),
+            "value": found["value"].tolist() + [np.nan] * len(waiting),
+            "rows": found["rows"].tolist() + [0] * len(waiting),
+        }
+    )
+    table = table.assign(depth=table["path"].str.len().astype("int64")).sort_values(["depth", "slot", "path"], ignore_index=True)
     paths, slot, feature = table["path"].tolist(), table["slot"].tolist(), table["feature"].tolist()
-    left, right = ([place.get((s, p + side), -1) if f >= 0 else -1 for s, p, f in zip(slot, paths, feature)] for side in "LR")
+    place = {key: k for k, key in enumerate(zip(slot, paths))}
+    left, right = ([place[s, p + side] if f >= 0 else -1 for s, p, f in zip(slot, paths, feature)] for side in "LR")
     columns = (feature, table["threshold"], left, right, table["value"], table["rows"], table["depth"], slot)
     return Trees(*(np.array(c) for c in columns)), paths
 
@@ -112,7 +122,8 @@ class Blocked:
                     own = frame.assign(x=x[r, f]).groupby(["node", "x"], as_index=False).sum()
                     parts.append(own.assign(feature=f))
             out = pd.concat(parts, ignore_index=True)
-            return out.assign(slot=trees.slot[out["node"]], path=[paths[k] for k in out["node"]])
+            node = out["node"].to_numpy(dtype=np.int64)
+            return out.assign(slot=trees.slot[node], path=[paths[k] for k in node])
 
         def cut(pdf: pd.DataFrame) -> pd.DataFrame:
             slot = int(pdf["slot"].iloc[0])
@@ -206,8 +217,8 @@ class Blocked:
             return np.stack(list(sides)).astype(float)
 
         features = self.features
-        names = [*self.by, "_j", "_part", *features, "_y"]
-        extra = rows.select("_blk", "_j", "_part", *features, "_y", "_m").schema.simpleString()[7:-1]
+        own = ["_blk", "_j", "_part", *features, "_y", "_m"]
+        extra = rows.select(*own).schema.simpleString()[7:-1]
 
         def moved(pdf: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
             trees, _ = assembled(nodes, len(slots))
@@ -218,7 +229,7 @@ class Blocked:
                 for _ in range(int(trees.depth.max(initial=0))):
                     node = trees.step(node, x)
                 margin[:, part] += (np.array(shares)[part, None] * value[node]).T
-            return pdf.assign(_m=list(margin))[[*names[len(self.keys) :], "_m"]]
+            return pdf.assign(_m=list(margin))[own]
 
         for k in range(max(s["trees"] for s in slots)):
             left = rows.withColumn("_left", F.transform("_m", lambda m: F.coalesce(F.col("_y") - m, F.lit(0.0))))

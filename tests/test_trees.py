@@ -132,7 +132,7 @@ def test_equals_brute_force(spark, panel, monkeypatch, kind, grid, time_series,
             pytest.skip("one way of folding is enough for the long form")
         monkeypatch.setattr(T, "LOCAL_ROWS", 45)  # the first series grows by levels, the second does not
         monkeypatch.setattr(T, "BLOCK_ROWS", 25)
-        grid = {**grid, "trees": [3]} | ({"depth": [1, 9]} if kind == "forest" else {"rate": [0.1]})
+        grid = {**grid, "trees": [2]} | ({"depth": [1, 9], "trees": [3]} if kind == "forest" else {"rate": [0.5]})
     pdf, table = panel
     model = T.train_trees(table, ["k"], "t", ["u", "v"], "y", grid, kind, time_series=time_series, folds=3)
     guesses = held(T.predict_trees(table, model), pdf)
