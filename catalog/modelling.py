@@ -19,8 +19,6 @@ from loomcast.plans.forecasting import Setting, forecast_panel, order_search
 from loomcast.plans.prepare import prepare_panel
 from loomcast.session import settle
 
-SMALL_FOREST = {"numTrees": [10], "maxDepth": [4], "minInstancesPerNode": [5]}
-
 # ---- stationarity ----------------------------------------------------------------------
 
 
@@ -390,73 +388,74 @@ def _(spark, sf):
     return forecast_panel(frame, "k", "t", "cases", ["k", "t"], settings)
 
 
-# ---- Spark ML --------------------------------------------------------------------------
+# ---- trees -----------------------------------------------------------------------------
 
 
 @query("forest_grid")
 def _(spark, sf):
-    grid = {"numTrees": [10], "maxDepth": [3, 5], "minInstancesPerNode": [5]}
-    result = M.grid_train(M.forest, grid, panel(spark, sf), FEATURES, "cases", ["k"], "i", folds=3)
-    scored = result["model"].transform(panel(spark, sf))
-    return rounded(scored.select("k", "t", "cases", "prediction"), 6, "prediction")
+    frame = panel(spark, sf)
+    model = M.train_trees(frame, ["k"], "i", FEATURES, "cases")
+    return rounded(M.predict_trees(frame, model).select("k", "t", "cases", "prediction"), 6, "prediction")
 
 
 @query("boosted_grid")
 def _(spark, sf):
-    grid = {"maxIter": [5], "stepSize": [0.1, 0.3], "maxDepth": [3]}
-    result = M.grid_train(
-        M.boosted, grid, panel(spark, sf), FEATURES, "cases", ["k"], "i",
-        scoring="neg_mean_absolute_error", time_series=True, scaled=True, folds=2,
+    frame = panel(spark, sf)
+    model = M.train_trees(
+        frame, ["k"], "i", FEATURES, "cases", kind="boosted", scoring="neg_mean_absolute_error", time_series=True
     )
-    scored = result["model"].transform(panel(spark, sf))
-    return rounded(scored.select("k", "t", "cases", "prediction"), 6, "prediction")
+    return rounded(M.predict_trees(frame, model).select("k", "t", "cases", "prediction"), 6, "prediction")
+
+
+@query(
+    "boosted_stump",
+    # one round of one cut on one feature: the cut whose two group means leave least, the lowest of equals
+    f"""WITH {PANEL}, v AS (SELECT DISTINCT k, qty FROM p),
+c AS (SELECT k, qty AS a, lead(qty) OVER (PARTITION BY k ORDER BY qty) AS b FROM v),
+g AS (SELECT c.k, c.a, c.b, sum(CASE WHEN p.qty <= c.a THEN cases END) AS y1, count(*) FILTER (WHERE p.qty <= c.a) AS n1,
+  sum(CASE WHEN p.qty > c.a THEN cases END) AS y2, count(*) FILTER (WHERE p.qty > c.a) AS n2 FROM c JOIN p ON p.k = c.k WHERE c.b IS NOT NULL GROUP BY 1, 2, 3),
+s AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(y1 * y1 / n1 + y2 * y2 / n2, 6) DESC, a) AS r FROM g WHERE n1 >= 5 AND n2 >= 5)
+SELECT p.k, p.t, round(CASE WHEN p.qty <= s.a THEN y1 / n1 ELSE y2 / n2 END, 6) AS prediction FROM p JOIN s ON s.k = p.k AND s.r = 1""",
+)
+def _(spark, sf):
+    frame = panel(spark, sf)
+    grid = {"rate": [1.0], "trees": [1], "depth": [1], "min_leaf": [5]}
+    model = M.train_trees(frame, ["k"], "i", ["qty"], "cases", grid, "boosted", folds=2)
+    return rounded(M.predict_trees(frame, model).select("k", "t", "prediction"), 6, "prediction")
 
 
 @query("impute_by_model")
 def _(spark, sf):
-    filled, _, _ = M.impute_by_model(
-        gappy_panel(spark, sf), ["k"], "i", "price", ["disc", "tax"], SMALL_FOREST, folds=3
-    )
+    filled, _, _ = M.impute_by_model(gappy_panel(spark, sf), ["k"], "i", "price", ["disc", "tax"])
     return rounded(filled.select("k", "t", "price", "prediction"), 6, "prediction")
 
 
 @query("impute_difficult")
 def _(spark, sf):
-    filled, _ = M.impute_difficult(
-        gappy_panel(spark, sf), ["k"], "i", "price", ["disc", "tax"], SMALL_FOREST, folds=3
-    )
+    filled, _ = M.impute_difficult(gappy_panel(spark, sf), ["k"], "i", "price", ["disc", "tax"])
     return rounded(filled.select("k", "t", "price", "method"), 6, "price")
 
 
 @query("impute_chained")
 def _(spark, sf):
-    grid = {"maxIter": [3], "stepSize": [0.1], "maxDepth": [3]}
-    filled, _ = M.impute_chained(
-        gappy_panel(spark, sf), ["k"], "i", ["price", "qty"], ["disc", "tax"], grid, folds=2
-    )
+    filled, _ = M.impute_chained(gappy_panel(spark, sf), ["k"], "i", ["price", "qty"], ["disc", "tax"])
     return rounded(filled.select("k", "t", "price", "qty"), 6, "price", "qty")
 
 
 @query("impute_scores_report")
 def _(spark, sf):
-    grid = {"maxIter": [3], "stepSize": [0.1], "maxDepth": [3]}
-    _, report = M.impute_chained(
-        gappy_panel(spark, sf), ["k"], "i", ["price", "qty"], ["disc", "tax"], grid, folds=2
-    )
+    _, report = M.impute_chained(gappy_panel(spark, sf), ["k"], "i", ["price", "qty"], ["disc", "tax"])
     return rounded(report, 6, "nrmsd")
 
 
 @query("prepared_panel")
 def _(spark, sf):
     frame = gappy_panel(spark, sf).drop("i")
-    done = prepare_panel(frame, ["k"], "t", FEATURES, "cases", 1.0, SMALL_FOREST, folds=2)
+    done = prepare_panel(frame, ["k"], "t", FEATURES, "cases")
     return rounded(done.panel.select("k", "t", "cases", *FEATURES), 6, *FEATURES)
 
 
 @query("lag_forest")
 def _(spark, sf):
-    done = train_lag_forest(
-        lines_by_week(spark, sf), ["k"], "t", FEATURES, "cases", [52], 8, SMALL_FOREST, folds=2
-    )
-    scored = done.result["model"].transform(done.lagged)
-    return rounded(scored.select("k", "t", "adjusted", "prediction"), 6, "adjusted", "prediction")
+    done = train_lag_forest(lines_by_week(spark, sf), ["k"], "t", FEATURES, "cases")
+    return rounded(done.predict().select("k", "t", "adjusted", "prediction"), 6, "adjusted", "prediction")

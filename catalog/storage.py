@@ -110,9 +110,7 @@ def _(spark, sf):
 @query("model_round_trip")
 def _(spark, sf):
     frame = panel(spark, sf)
-    grid = {"numTrees": [5], "maxDepth": [3]}
-    result = M.grid_train(M.forest, grid, frame, FEATURES, "cases", ["k"], "i", folds=2)
     path = scratch_path(spark, "model")
-    M.save_model(result["model"], path)
-    scored = M.load_model(path).transform(frame)
-    return rounded(scored.select("k", "t", "prediction"), 6, "prediction")
+    M.save_trees(M.train_trees(frame, ["k"], "i", FEATURES, "cases"), path)
+    model = M.load_trees(spark, path, ["k"], FEATURES)
+    return rounded(M.predict_trees(frame, model).select("k", "t", "prediction"), 6, "prediction")

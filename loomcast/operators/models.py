@@ -1,7 +1,10 @@
-"""Grid training with Spark ML and imputation by model."""
+"""Grid training with Spark ML, imputation by each series' own model, and the store of models."""
 
 from __future__ import annotations
 
+import json
+import math
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
@@ -15,23 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.functions.blocks import position
+from loomcast.functions.joins import attach, match
 from loomcast.operators.impute import choose_imputer, impute_chosen, score_imputers
-from loomcast.operators.profile import apply_scaler, fit_scaler
 from loomcast.operators.regression import kfold_contiguous, time_segments
+from loomcast.operators.trees import KeyedTrees, predict_trees, train_trees
 from loomcast.session import settle
 
 SEED = 28
 
-# The model grids.  Trees deeper than 30 levels are not supported, so
-# the depths 10 … 110 come down to three; a minimum split size has no counterpart.
-FOREST_GRID = {"numTrees": [100], "maxDepth": [10, 21, 30], "minInstancesPerNode": [1, 2, 5, 10]}
-BOOSTING_FOREST_GRID = {"numTrees": [1000], "maxDepth": [30], "minInstancesPerNode": [1]}
-GBT_GRID = {
-    "maxIter": [1000],
-    "stepSize": [0.1, 0.2, 0.3],
-    "maxDepth": [3],
-    "minInstancesPerNode": [1, 2, 5, 10],
-}
 METRICS = {"neg_mean_squared_error": "mse", "neg_mean_absolute_error": "mae"}
 
 
@@ -68,6 +62,7 @@ def grid_train(
     Returns ``{"scores": [best], "model": fitted pipeline, "params": …, "table": …}``.
     Every fit is a Spark job over all rows of its fold; settings × folds are the
     only things the driver loops over.  Scaling is fitted on the train rows.
+    A fold whose score is not a number is left out of its setting's mean.
     """
     used = position(df.select(*keys, pos, *features, target).na.drop(), keys, pos, "_j")
     # tagged once and written once: every fit below reads it
@@ -98,9 +93,8 @@ def grid_train(
     jobs = list(product(range(len(settings)), range(folds)))
     with ThreadPoolExecutor(parallelism) as pool:
         values = list(pool.map(score, jobs))
-    means = [
-        sum(v for (s, _), v in zip(jobs, values) if s == k) / folds for k in range(len(settings))
-    ]
+    known = [[v for (s, _), v in zip(jobs, values) if s == k and not math.isnan(v)] for k in range(len(settings))]
+    means = [sum(own) / len(own) if own else -math.inf for own in known]
     best = max(range(len(settings)), key=lambda k: means[k])
     return {
         "scores": [means[best]],
@@ -129,6 +123,64 @@ def load_or_train(spark: SparkSession, path: str, train: Callable[[], Model]) ->
     return load_model(path)
 
 
+def save_trees(model: KeyedTrees, path: str) -> None:
+    """Write every series' trees, scores and choice under ``path``."""
+    for name in ("nodes", "scores", "best"):
+        getattr(model, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load_trees(spark: SparkSession, path: str, keys: Sequence[str], features: Sequence[str]) -> KeyedTrees:
+    return KeyedTrees(*(spark.read.parquet(f"{path}/{name}") for name in ("nodes", "scores", "best")), list(keys), list(features))
+
+
+def series_digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str], settings: str) -> DataFrame:
+    """(keys, digest): what a fit of ``columns`` with ``settings`` would see of each series, whatever the order of its rows."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in columns]
+    halves = [F.bit_xor(F.xxhash64(F.lit(k), *cells)) for k in (1, 2)]
+    whole = F.concat_ws("|", F.lit(settings), F.count(F.lit(1)).cast("string"), *[h.cast("string") for h in halves])
+    return df.groupBy(*keys).agg(F.sha2(whole, 256).alias("digest"))
+
+
+def stored_trees(
+    path: str,
+    df: DataFrame,
+    keys: Sequence[str],
+    pos: str,
+    features: Sequence[str],
+    target: str,
+    **settings,
+) -> KeyedTrees:
+    """The trees of every series from the store at ``path``; those that are not there are fitted and added.
+
+    A fit is known by its keys, target and the digest of its rows and settings, so changed
+    data or another grid is fitted anew, series by series, and the rest is read back.
+    The choice is written last and names its run: a run that died leaves nothing behind
+    that could be taken for a model.
+    """
+    keys, features = list(keys), list(features)
+    spark, parts = df.sparkSession, ("nodes", "scores", "best")
+    told = json.dumps([target, features, settings], sort_keys=True, default=str)
+    asked = series_digests(df, keys, [pos, *features, target], told)
+    asked = settle(asked)
+    try:
+        best = spark.read.parquet(f"{path}/best")
+        have = match(asked, best.select(*keys, "digest", "run"), [*keys, "digest"])
+    except AnalysisException:
+        have = None
+    missing = asked if have is None else match(asked, have.select(*keys, "digest"), [*keys, "digest"], "left_anti")
+    if not missing.isEmpty():
+        rows = attach(df, missing.select(*keys, F.lit(True).alias("_asked")), keys, "inner").drop("_asked")
+        model = train_trees(rows, keys, pos, features, target, **settings)
+        run = uuid.uuid4().hex
+        for name in parts:
+            marked = attach(getattr(model, name), missing, keys, "inner").withColumn("run", F.lit(run))
+            marked.write.mode("append").parquet(f"{path}/{name}")
+        have = match(asked, spark.read.parquet(f"{path}/best").select(*keys, "digest", "run"), [*keys, "digest"])
+    have = settle(have.groupBy(*keys, "digest").agg(F.min("run").alias("run")))
+    found = (match(spark.read.parquet(f"{path}/{name}"), have, [*keys, "digest", "run"]).drop("digest", "run") for name in parts)
+    return KeyedTrees(*found, keys, features)
+
+
 def impute_by_model(
     df: DataFrame,
     keys: Sequence[str],
@@ -136,38 +188,28 @@ def impute_by_model(
     target: str,
     easy: Sequence[str],
     grid: dict[str, Sequence] | None = None,
-    make=forest,
+    kind: str = "forest",
     folds: int = 5,
-) -> tuple[DataFrame, DataFrame, dict]:
-    """Predict a difficult column from complete easy columns, standardised per series.
-
-    One model serves all series: each is scaled by its own rows that have the
-    target.  Returns (rows with ``prediction`` where the target is missing, the
-    score per key, the training result).
+    store: str | None = None,
+) -> tuple[DataFrame, DataFrame, KeyedTrees]:
+    """Predict a difficult column from complete easy columns, with a model for each series.
+
+    Returns (rows with ``prediction`` where the target is missing, the score per key, the
+    trees).  A series without any known target has no model: NULL predictions and score.
+    Trees do not change when features are standardised, so they are not.  With ``store``,
+    fits are kept there and taken again while data and settings stay the same.
     """
     keys, easy = list(keys), list(easy)
-    known = df.where(F.col(target).isNotNull())
-    scaler = fit_scaler(known, keys, [*easy, target])
-    scaled = apply_scaler(df, scaler, keys, [*easy, target])
-    result = grid_train(
-        make, grid or FOREST_GRID, scaled, easy, target, keys, pos, folds=folds
-    )
-    spans = known.groupBy(*keys).agg((F.max(target) - F.min(target)).alias("_span"))
-    marks = scaler.select(*keys, F.col(f"mean_{target}").alias("_m"), F.col(f"std_{target}").alias("_s"))
-    score = marks.join(spans, keys).select(
-        *keys,
-        F.lit("model").alias("method"),
-        (
-            F.lit(float(abs(result["scores"][0]) ** 0.5)) * F.col("_s")
-            / F.nullif(F.col("_span"), F.lit(0.0))
-        ).alias("nrmse"),
-    )
-    gaps = scaled.where(F.col(target).isNull()).na.drop(subset=easy)
-    guessed = result["model"].transform(gaps).select(*keys, pos, F.col("prediction").alias("_p"))
-    guessed = guessed.join(marks, keys).select(
-        *keys, pos, (F.col("_m") + F.col("_p") * F.col("_s")).alias("prediction")
-    )
-    return df.join(guessed, [*keys, pos], "left"), score, result
+    settings = {"grid": grid, "kind": kind, "folds": folds}
+    if store:
+        model = stored_trees(store, df, keys, pos, easy, target, **settings)
+    else:
+        model = train_trees(df, keys, pos, easy, target, **settings)
+    spans = df.groupBy(*keys).agg((F.max(target) - F.min(target)).alias("_span"))
+    error = F.sqrt(F.abs("score")) / F.nullif(F.col("_span"), F.lit(0.0))
+    score = match(spans, model.best, keys, "left").select(*keys, F.lit("model").alias("method"), error.alias("nrmse"))
+    guessed = predict_trees(df, model)
+    return guessed.withColumn("prediction", F.when(F.col(target).isNull(), F.col("prediction"))), score, model
 
 
 def impute_difficult(
@@ -209,7 +251,7 @@ def impute_chained(
     targets: Sequence[str],
     easy: Sequence[str],
     grid: dict[str, Sequence] | None = None,
-    make=boosted,
+    kind: str = "boosted",
     folds: int = 5,
 ) -> tuple[DataFrame, DataFrame]:
     """Older variant: fill columns one after the other, the last listed first.
@@ -220,24 +262,19 @@ def impute_chained(
     keys, ready = list(keys), list(easy)
     report = None
     for target in reversed(list(targets)):
-        predicted, _, result = impute_by_model(df, keys, pos, target, ready, grid, make, folds)
-        filled = predicted.select(
-            *[c for c in df.columns if c != target],
-            F.coalesce(F.col(target), F.col("prediction")).alias(target),
-        )
-        spread = df.groupBy(*keys).agg(F.stddev_pop(target).alias("_s"))
-        error = F.lit(float(abs(result["scores"][0]) ** 0.5)) * F.col("_s")
-        part = (
-            filled.groupBy(*keys)
-            .agg((F.max(target) - F.min(target)).alias("_span"))
-            .join(spread, keys)
-            .select(
-                *keys,
-                F.lit(target).alias("variable"),
-                (error / F.nullif(F.col("_span"), F.lit(0.0))).alias("nrmsd"),
+        predicted, _, model = impute_by_model(df, keys, pos, target, ready, grid, kind, folds)
+        filled = settle(
+            predicted.select(
+                *[c for c in df.columns if c != target],
+                F.coalesce(F.col(target), F.col("prediction")).alias(target),
             )
         )
+        spans = filled.groupBy(*keys).agg((F.max(target) - F.min(target)).alias("_span"))
+        error = F.sqrt(F.abs("score")) / F.nullif(F.col("_span"), F.lit(0.0))
+        part = match(spans, model.best, keys, "left").select(
+            *keys, F.lit(target).alias("variable"), error.alias("nrmsd")
+        )
         report = part if report is None else report.unionByName(part)
-        df = settle(filled)
+        df = filled
         ready.append(target)
     return df, report

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.blocks import position, with_totals
 from loomcast.functions.gram import dot, row_gram, square
 from loomcast.functions.grouped import per_group
+from loomcast.functions.joins import attach, match
 from loomcast.session import settle
 
 # The penalty grids to search.
@@ -65,25 +66,72 @@ def time_series_folds(
     return exploded.withColumn("role", role).drop("_rows", "_seg")
 
 
-def _lasso(gram: np.ndarray, cross: np.ndarray, alpha: float, start: np.ndarray) -> np.ndarray:
-    """Coordinate descent on X'X/n and X'y/n."""
-    w = start.copy()
-    left = cross - gram @ w
-    for _ in range(5000):
-        biggest = 0.0
-        for j in range(len(w)):
-            if gram[j, j] <= 1e-14:
-                continue
-            pull = left[j] + gram[j, j] * w[j]
-            new = np.sign(pull) * max(abs(pull) - alpha, 0.0) / gram[j, j]
-            change = new - w[j]
-            if change:
-                left -= gram[:, j] * change
-                w[j] = new
-                biggest = max(biggest, abs(change))
-        if biggest < 1e-11:
+#: Duality gap, as a share of half the target's second moment, up to which a lasso fit counts as solved.
+GAP = 1e-8
+
+
+def lasso_gap(gram: np.ndarray, cross: np.ndarray, square: float, alpha: float, w: np.ndarray) -> float:
+    """How far at most the objective of ``w`` lies above the best one.
+
+    The residual, shrunk until no column's product with it exceeds the penalty, is a
+    feasible point of the dual problem; everything follows from the moments.
+    """
+    pull = cross - gram @ w
+    left = square - 2 * cross @ w + w @ gram @ w
+    share = min(1.0, alpha / max(np.abs(pull).max(initial=0.0), 1e-300))
+    rest = square - 2 * share * (square - cross @ w) + share * share * left
+    return max(0.0, left / 2 + alpha * np.abs(w).sum() - (square - rest) / 2)
+
+
+def _lasso(gram: np.ndarray, cross: np.ndarray, square: float, alpha: float, start: np.ndarray) -> tuple[np.ndarray, float]:
+    """(coefficients, duality gap) for X'X/n, X'y/n and y'y/n, by an active set.
+
+    The column that breaks its condition most joins the active set; the equations of the
+    active columns under their signs are solved at once, and where a coefficient would
+    change its sign on the way, the best of these points is taken and it leaves.
+    """
+    w, p = start.copy(), len(start)
+    usable = np.diagonal(gram) > 1e-14
+    ridge = 1e-13 * max(float(np.diagonal(gram).max(initial=0.0)), 1e-300)
+    w[~usable] = 0.0
+
+    def worth(v: np.ndarray, rows: np.ndarray) -> float:
+        own = v[rows]
+        return 0.5 * own @ gram[np.ix_(rows, rows)] @ own - cross[rows] @ own + alpha * np.abs(own).sum()
+
+    sign = np.sign(w)
+    for _ in range(20 * p + 20):
+        pull = cross - gram @ w
+        outside = np.where((w == 0) & usable, np.abs(pull) - alpha, -np.inf)
+        held = np.abs(pull - alpha * np.sign(w))[w != 0].max(initial=0.0)
+        slack = 1e-12 * max(alpha, float(np.abs(cross).max(initial=0.0)))
+        if p and outside.max() > slack:
+            new = int(np.argmax(outside))
+            sign[new] = np.sign(pull[new])
+        elif held <= slack:
             break
-    return w
+        for _ in range(p + 1):
+            rows = np.flatnonzero(sign)
+            if not len(rows):
+                break
+            aim = np.zeros(p)
+            aim[rows] = np.linalg.solve(gram[np.ix_(rows, rows)] + ridge * np.eye(len(rows)), cross[rows] - alpha * sign[rows])
+            turning = rows[(w[rows] != 0) & (np.sign(aim[rows]) != np.sign(w[rows]))]
+            if not len(turning):
+                w = aim
+                # a new column that does not move to its side is no use now
+                sign = np.sign(w)
+                break
+            shares = np.sort(w[turning] / (w[turning] - aim[turning]))
+            points = [w + t * (aim - w) for t in (*shares, 1.0)]
+            for point, t in zip(points, shares):
+                point[turning[np.isclose(w[turning] / (w[turning] - aim[turning]), t, rtol=1e-12, atol=0)]] = 0.0
+            best = min(points, key=lambda v: worth(v, rows))
+            w, sign = best, np.sign(best)
+        # rounding can stop progress on columns that depend on each other: the gap tells
+        if lasso_gap(gram, cross, square, alpha, w) <= 1e-4 * GAP * square / 2:
+            break
+    return w, lasso_gap(gram, cross, square, alpha, w)
 
 
 def _moments(gram: np.ndarray):
@@ -107,8 +155,9 @@ def penalised_path(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with fold parts, coefficient table) for every fold and penalty.
 
-    The table has (keys, fold, alpha, intercept, coef, std_coef, unit), fold -1 being
-    the fit on all rows.  A train matrix is the total less its test part, or the sum of the
+    The table has (keys, fold, alpha, intercept, coef, std_coef, unit, gap), fold -1 being
+    the fit on all rows.  ``gap`` is a lasso's duality gap as a share of half the target's
+    second moment (0 for ridge, which is solved directly).  A train matrix is the total less its test part, or the sum of the
     parts before it, so one pass over the rows serves all folds and penalties.
     Features are standardised on the train part (on all rows with ``leaky``).
     """
@@ -140,51 +189,42 @@ def penalised_path(
 
     def paths(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = {int(k): square(g) for k, g in pdf.groupby("_part")}
+        fold = int(pdf["fold"].iloc[0])
         total = sum(parts.values())
-        train = {-1: total}
-        for f in range(folds):
-            if time_series:
-                seen = [g for k, g in parts.items() if k <= f]
-                train[f] = sum(seen) if seen else None
-            elif f in parts:
-                train[f] = total - parts[f]
+        if fold < 0:
+            gram = total
+        elif time_series:
+            gram = sum((g for k, g in parts.items() if k <= fold), np.zeros_like(total))
+        else:
+            gram = total - parts[fold] if fold in parts else np.zeros_like(total)
         out = []
         unit = float(pdf["_ys"].iloc[0])
-        spread = _moments(total)[2]
-        for f, gram in train.items():
-            if gram is None or gram[0, 0] < 2:
-                continue
+        if gram[0, 0] >= 2:
             n, means, cov = _moments(gram)
-            base = np.diag(spread if leaky else cov)[:p]
+            base = np.diag(_moments(total)[2] if leaky else cov)[:p]
             scale = np.sqrt(np.where(base > 1e-14, base, 1.0))
             x = cov[:p, :p] / np.outer(scale, scale)
             c = cov[:p, p] / scale
-            w = np.zeros(p)
+            w, gap = np.zeros(p), 0.0
             for alpha in sorted(alphas, reverse=True):
                 if kind == "lasso":
                     # the target is in units of its deviation, so is the penalty
-                    w = _lasso(x, c, alpha / unit, w)
+                    w, gap = _lasso(x, c, cov[p, p], alpha / unit, w)
+                    gap /= max(cov[p, p] / 2, 1e-300)
                 else:
                     w = np.linalg.solve(x + alpha / n * np.eye(p), c)
                 coef = w / scale
-                out.append(
-                    {
-                        "fold": f,
-                        "alpha": alpha,
-                        "intercept": means[p] - coef @ means[:p],
-                        "coef": coef.tolist(),
-                        "std_coef": (w * unit).tolist(),
-                        "unit": unit,
-                    }
-                )
-        names = ["fold", "alpha", "intercept", "coef", "std_coef", "unit"]
+                out.append((fold, alpha, means[p] - coef @ means[:p], coef.tolist(), (w * unit).tolist(), unit, gap))
+        names = ["fold", "alpha", "intercept", "coef", "std_coef", "unit", "gap"]
         return pd.DataFrame(out, columns=names).astype({"fold": "int32"})
 
+    # every fold of every key is a task of its own; all have the parts' matrices
+    dealt = grams.withColumn("fold", F.explode(F.sequence(F.lit(-1), F.lit(folds - 1))))
     table = per_group(
-        grams,
-        keys,
+        dealt,
+        [*keys, "fold"],
         keys,
-        "fold int, alpha double, intercept double, coef array<double>, std_coef array<double>, unit double",
+        "fold int, alpha double, intercept double, coef array<double>, std_coef array<double>, unit double, gap double",
         paths,
     )
     # few rows per key, but dear ones: written once, then read for folds and refit
@@ -204,9 +244,11 @@ def penalised_cv(
     scoring: str = "mae",
     leaky: bool = False,
 ) -> DataFrame:
-    """(keys, alpha, score, coef): the penalty with the lowest mean fold error, refitted on all rows.
+    """(keys, alpha, score, coef, gap, status): the penalty with the lowest mean fold error, refitted on all rows.
 
-    ``coef`` belongs to standardised features and the target in its own unit.
+    ``coef`` belongs to standardised features and the target in its own unit.  ``gap`` is
+    the largest relative duality gap among the fits of all folds and penalties that led to
+    the row; above ``GAP`` the status is "not converged".
     """
     keys, features = list(keys), list(features)
     alphas = alphas or (LASSO_ALPHAS if kind == "lasso" else RIDGE_ALPHAS)
@@ -232,7 +274,7 @@ def penalised_cv(
         )
 
     errors = (
-        tested.join(fits, [*keys, "fold"])
+        match(tested, fits, [*keys, "fold"])
         .select(*keys, "fold", F.explode(F.transform("_fits", loss)).alias("_l"))
         .groupBy(*keys, "fold", "_l.alpha")
         .agg(F.avg("_l.loss").alias("_loss"))
@@ -242,7 +284,9 @@ def penalised_cv(
         F.min(F.struct("score", "alpha")).alias("_b")
     ).select(*keys, F.col("_b.alpha").alias("alpha"), F.col("_b.score").alias("score"))
     whole = table.where("fold = -1").select(*keys, "alpha", F.col("std_coef").alias("coef"))
-    return best.join(whole, [*keys, "alpha"]).select(*keys, "alpha", "score", "coef")
+    gaps = table.groupBy(*keys).agg(F.max("gap").alias("gap"))
+    status = F.when(F.col("gap") <= GAP, "ok").otherwise("not converged").alias("status")
+    return match(match(best, whole, [*keys, "alpha"]), gaps, keys).select(*keys, "alpha", "score", "coef", "gap", status)
 
 
 def selected_columns(
@@ -299,7 +343,8 @@ def ridge_fit(
     means = shift.groupBy(*keys).agg(
         F.array(*[F.first(f"_m{k}") for k in range(len(names))]).alias("_means")
     )
-    grams = row_gram(rows, keys, "_part", names, "_j").join(means, keys)
+    grams = row_gram(rows, keys, "_part", names, "_j")
+    grams = attach(grams, means, keys)
     p = len(features)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:

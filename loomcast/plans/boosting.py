@@ -1,4 +1,4 @@
-"""Prepared panel to a forest on selected lags of the deseasonalised target."""
+"""Prepared panel to forests on each series' own lags of the deseasonalised target."""
 
 from __future__ import annotations
 
@@ -8,23 +8,27 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomcast.functions.joins import attach
 from loomcast.operators.harmonic import harmonic_deseasonalize
-from loomcast.operators.models import BOOSTING_FOREST_GRID, forest, grid_train
 from loomcast.operators.regression import lasso_select
 from loomcast.operators.reshape import series_index
 from loomcast.operators.selection import granger_features
+from loomcast.operators.trees import LAG_FOREST_GRID, KeyedTrees, predict_trees, train_trees
 from loomcast.operators.windows import lag_features
 from loomcast.session import settle
 
 
 @dataclass
 class LagForest:
-    """The trained model and what led to it."""
+    """The trained trees and what led to them."""
 
-    sign_lags: DataFrame
-    lagged: DataFrame
-    selected: list[str]
-    result: dict
+    sign_lags: DataFrame  # (keys, feature, sign_lag)
+    lagged: DataFrame  # rows with the lag columns; 0 where a series does not use a lag
+    chosen: DataFrame  # (keys, feature, coef) the columns each series' lasso keeps
+    model: KeyedTrees
+
+    def predict(self) -> DataFrame:
+        return predict_trees(only_chosen(self.lagged, self.chosen, self.model.keys, self.model.features), self.model)
 
 
 def lag_table(
@@ -36,10 +40,12 @@ def lag_table(
     periods: Sequence[int] = (52,),
     maxlag: int = 52,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(largest significant lags, rows with lag columns, names of all feature columns).
+    """(significant lags of each series, rows with lag columns, names of all feature columns).
 
-    The lag of a feature is the largest any series asks for; the driver reads one
-    number per feature to name the columns.
+    Each series has its own lags: a column of a lag that it does not use is 0 in all of its
+    rows, so no model can use it, and costs it no row.  A lag that it uses is NULL where
+    the series does not reach back that far.  The driver reads one number per feature to
+    name the columns.
     """
     keys, features = list(keys), list(features)
     indexed = series_index(df, keys, order)
@@ -47,13 +53,27 @@ def lag_table(
     level = harmonic_deseasonalize(known, keys, "i", target, periods)
     level = settle(level.drop("season"))
     level = series_index(level.drop("i"), keys, order)
-    found = granger_features(level, keys, "i", "adjusted", features, maxlag)
+    found = settle(granger_features(level, keys, "i", "adjusted", features, maxlag))
     largest = found.groupBy("feature").agg(F.max("sign_lag").alias("top")).collect()
     tops = {r["feature"]: int(r["top"]) for r in largest}
     wanted = {c: tops.get(c, 0) for c in features}
-    lagged = lag_features(level, keys, "i", wanted)
+    own = F.map_from_entries(F.collect_list(F.struct("feature", F.col("sign_lag").cast("int"))))
+    lags = found.groupBy(*keys).agg(own.alias("_lags"))
+    lagged = attach(lag_features(level, keys, "i", wanted), lags, keys)
+    for c in features:
+        used = F.coalesce(F.try_element_at("_lags", F.lit(c)), F.lit(0))
+        for h in range(1, wanted[c] + 1):
+            lagged = lagged.withColumn(f"{c}_{h}", F.when(used >= h, F.col(f"{c}_{h}")).otherwise(F.lit(0.0)))
     names = [*features, *[f"{c}_{h}" for c in features for h in range(1, wanted[c] + 1)]]
-    return found, lagged, names
+    return found, lagged.drop("_lags"), names
+
+
+def only_chosen(df: DataFrame, chosen: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``columns`` with 0 in place of those that a series has not chosen; all stay where it chose none."""
+    sets = chosen.groupBy(*keys).agg(F.collect_set("feature").alias("_chosen"))
+    mine = attach(df, sets, keys)
+    shown = {c: F.when(F.coalesce(F.array_contains("_chosen", c), F.lit(True)), F.col(c)).otherwise(F.lit(0.0)) for c in columns}
+    return mine.withColumns(shown).drop("_chosen")
 
 
 def train_lag_forest(
@@ -67,24 +87,23 @@ def train_lag_forest(
     grid: dict | None = None,
     folds: int = 5,
 ) -> LagForest:
-    """Deseason, Granger lags, lasso columns, forest; columns any series selects are used."""
+    """Deseason, Granger lags, lasso columns, forest: lags, columns and trees are each series' own."""
+    keys = list(keys)
     found, lagged, names = lag_table(df, keys, order, features, target, periods, maxlag)
     lagged = settle(lagged.na.drop(subset=names))
-    lagged = series_index(lagged.drop("i"), keys, order)
-    used = lasso_select(lagged, keys, "i", "adjusted", names).select("feature").distinct().collect()
-    chosen = {r["feature"] for r in used}
-    selected = [c for c in names if c in chosen] or list(features)
-    result = grid_train(
-        forest,
-        grid or BOOSTING_FOREST_GRID,
-        lagged,
-        selected,
-        "adjusted",
+    lagged = settle(series_index(lagged.drop("i"), keys, order))
+    chosen = settle(lasso_select(lagged, keys, "i", "adjusted", names))
+    picked = {r["feature"] for r in chosen.select("feature").distinct().collect()}
+    columns = [c for c in names if c in picked] or list(features)
+    model = train_trees(
+        only_chosen(lagged, chosen, keys, columns),
         keys,
         "i",
+        columns,
+        "adjusted",
+        grid or LAG_FOREST_GRID,
         scoring="neg_mean_absolute_error",
         time_series=True,
-        scaled=True,
         folds=folds,
     )
-    return LagForest(found, lagged, selected, result)
+    return LagForest(found, lagged, chosen, model)

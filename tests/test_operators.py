@@ -374,3 +374,23 @@ def test_combined_forecast_is_whole_and_not_negative(spark):
     guess = spark.createDataFrame([("a", 1, -2.0), ("a", 2, 3.5), ("b", 1, 2.5)], "city string, step int, mean double")
     got = forecast.combine_forecasts(df, guess, ["city"], "t", columns=["city", "t"])
     assert sorted(map(tuple, got.collect())) == [("a", 2, 0), ("a", 3, 4), ("b", 1, 2)]
+
+
+@pytest.mark.parametrize("n,p", [(200, 12), (60, 30), (50, 80)])
+def test_lasso_gap_certifies_the_fit(n, p):
+    from loomcast.operators.regression import _lasso
+
+    draw = np.random.default_rng(n)
+    z = draw.normal(size=(n, p))
+    x = 0.7 * z[:, :1] + z
+    x[:, 1] = x[:, 0]  # two equal columns
+    x = (x - x.mean(0)) / x.std(0)
+    x[:, 2] = 0
+    y = x[:, :5] @ np.array([1, 0, 0, -2, 0.5]) + draw.normal(size=n)
+    gram, cross, square, w = x.T @ x / n, x.T @ y / n, y @ y / n, np.zeros(p)
+    for alpha in (10.0, 1.0, 0.1, 1e-2, 1e-3, 1e-5, 1e-8):
+        w, gap = _lasso(gram, cross, square, alpha, w)
+        assert gap <= 1e-8 * square / 2 and w[2] == 0
+        value = lambda v, a=alpha: ((y - x @ v) ** 2).mean() / 2 + a * np.abs(v).sum()
+        best = min(value(w + step) for step in 1e-3 * draw.normal(size=(50, p)))
+        assert best >= value(w) - 1e-12

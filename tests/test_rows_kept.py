@@ -125,7 +125,7 @@ def test_panel_where_no_column_is_easy_everywhere(spark):
                 cell[gappy] = None
             rows.append((name, i, cell["a"], cell["b"]))
     table = series_index(spark.createDataFrame(rows, "k string, h long, a double, b double"), ["k"], "h", span=(0, 1000))
-    grid = {"numTrees": [5], "maxDepth": [3]}
+    grid = {"trees": [5], "depth": [3]}
     done, profile = impute_panel(table, ["k"], "i", ["a", "b"], grid=grid, n=10, folds=2)
     assert done.count() == 240 and done.where("a is null or b is null").count() == 0
     assert profile.where("not easy").count() == 2

@@ -181,3 +181,4 @@ def test_no_keys(spark, panel):
     table = table.where("k = 'a'")
     model = T.train_trees(table, [], "t", ["u", "v"], "y", {"trees": [3], "depth": [2]}, folds=2)
     assert T.predict_trees(table, model).where("prediction is null").count() == 0
+
