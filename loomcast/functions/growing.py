@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Rows times slots that grow together; more slots follow in turns.
-TOGETHER = 60_000
+TOGETHER = 20_000
 #: Gains closer than this count as equal, so that the order of a sum does not decide.
 SAME = 1 - 1e-12
 
@@ -73,31 +73,51 @@ class Trees:
 def best_cuts(node, x, n, w, wy, sizes, least):
     """The best cut of each node on one feature, from cells sorted by (node, x).
 
-    A cell has a value ``x`` and its rows, weight and weighted target; ``sizes`` says how
-    many cells a node has.  Returns (gain, threshold) by node: the weighted squares of the
-    two sides' means, -inf where no cut leaves ``least`` rows on both sides.
+    A cell has a value ``x`` and its rows, weight and weighted target (``n`` None: one row
+    each, ``w`` None: weight as rows); ``sizes`` says how many cells a node has.  Returns
+    (gain, threshold) by node: the weighted squares of the two sides' means, -inf where no
+    cut leaves ``least`` rows on both sides.
     """
-    start = np.cumsum(sizes) - sizes
+    count = len(x)
+    last = np.cumsum(sizes) - 1
+    start = last - sizes + 1
+    # a cut stands behind a cell: the next cell is of the same node and larger
+    cut = x[:-1] < x[1:]
+    cut[last[:-1]] = False
+    place = np.flatnonzero(cut)
+    own = node[place]
 
     def sides(cells):
         upto = np.cumsum(cells)
-        total = np.add.reduceat(cells, start)
-        low = upto - np.repeat(upto[start] - cells[start], sizes)
-        return low, np.repeat(total, sizes) - low
-
-    (n_low, n_high), (y_low, y_high) = sides(n), sides(wy)
-    w_low, w_high = (n_low, n_high) if w is n else sides(w)
-    after = np.append(x[1:], x[-1:])
-    fits = (n_low >= least[node]) & (n_high >= least[node]) & (x < after)
-    fits[start + sizes - 1] = False
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.where(fits, y_low**2 / w_low + y_high**2 / w_high, -np.inf)
-    top = np.maximum.reduceat(gain, start)
-    hits = np.flatnonzero(gain >= np.repeat(top * SAME, sizes))[::-1]
+        before = np.where(start > 0, upto[start - 1], 0.0)
+        low = upto[place] - before[own]
+        return low, (upto[last] - before)[own] - low
+
+    if n is None:
+        n_low = (place - start[own] + 1).astype(float)
+        n_high = sizes[own] - n_low
+    else:
+        n_low, n_high = sides(n)
+    fits = (n_low >= least[own]) & (n_high >= least[own])
+    if not fits.all():
+        place, own, n_low, n_high = place[fits], own[fits], n_low[fits], n_high[fits]
+    w_low, w_high = (n_low, n_high) if w is None else sides(w)
+    y_low, y_high = sides(wy)
+    gain = y_low**2 / w_low + y_high**2 / w_high
+    top, threshold = np.full(len(sizes), -np.inf), np.zeros(len(sizes))
+    if not count or not len(place):
+        return top, threshold
+    opens = np.flatnonzero(np.diff(own, prepend=-1))
+    best = np.maximum.reduceat(gain, opens)
+    top[own[opens]] = best
+    hits = np.flatnonzero(gain >= top[own] * SAME)[::-1]
     first = np.zeros(len(sizes), dtype=np.int64)
-    first[node[hits]] = hits  # the lowest of equals
-    middle = x[first] + (after[first] - x[first]) / 2
-    return top, np.where(middle < after[first], middle, x[first])
+    first[own[hits]] = place[hits]  # the lowest of equals
+    found = own[opens]
+    low, high = x[first[found]], x[first[found] + 1]
+    middle = low + (high - low) / 2
+    threshold[found] = np.where(middle < high, middle, low)
+    return top, threshold
 
 
 def grow(x, order, y, w, max_depth, min_split, min_leaf) -> Trees:
@@ -116,6 +136,8 @@ def grow(x, order, y, w, max_depth, min_split, min_leaf) -> Trees:
     node = np.repeat(np.arange(slots), rows)
     lines = [(np.arange(slots)[:, None] * rows + own[None, :]).ravel() for own in order]
     lines = [line[weight[line] > 0] for line in lines]
+    columns = [np.tile(x[:, f], slots) for f in range(x.shape[1])]
+    flat = (x == x[:1]).all(axis=0) if rows else np.ones(x.shape[1], bool)  # no cut is ever found there
     spread = np.add.reduceat(squares, np.arange(slots) * rows) if rows else np.zeros(slots)
     plain = bool(np.isin(weight, (0.0, 1.0)).all())
     held, made, slot, depth = [], 0, np.arange(slots), 0
@@ -136,18 +158,20 @@ def grow(x, order, y, w, max_depth, min_split, min_leaf) -> Trees:
             small = np.int16 if len(sizes) < 32_000 else np.int64
             gain = np.full(len(sizes), -np.inf)
             own_feature, own_cut = np.full(len(sizes), -1), np.zeros(len(sizes))
+            spot = number.astype(small)[node]
             for f, line in enumerate(lines):
-                place = number[node[line]]
-                line, place = line[place >= 0], place[place >= 0].astype(small)
+                if f and flat[f]:
+                    continue
+                place = spot[line]
+                if not open_.all():
+                    line = line[place >= 0]
+                    place = spot[line]
+                column = columns[f]
                 if depth:
                     sort = np.argsort(place, kind="stable")
-                    lines[f], place = line[sort], place[sort]
-                    line = lines[f]
-                else:
-                    lines[f] = line
-                ones = np.ones(len(line))
-                own_weight = ones if plain else weight[line]
-                top, cut = best_cuts(place.astype(np.int64), x[row_of[line], f], ones, own_weight, wy[line], sizes, least)
+                    line, place = line[sort], place[sort]
+                lines[f] = line
+                top, cut = best_cuts(place, column[line], None, None if plain else weight[line], wy[line], sizes, least)
                 better = top * SAME > gain
                 gain = np.where(better, top, gain)
                 own_feature, own_cut = np.where(better, f, own_feature), np.where(better, cut, own_cut)
@@ -156,11 +180,14 @@ def grow(x, order, y, w, max_depth, min_split, min_leaf) -> Trees:
         ahead = made + count + 2 * (np.cumsum(split) - 1)
         held.append((feature, threshold, np.where(split, ahead, -1), np.where(split, ahead + 1, -1), mean, size, np.full(count, depth), slot))
         child = np.where(split, 2 * (np.cumsum(split) - 1), -1)
+        stays = split[node]
         for f, line in enumerate(lines):
-            lines[f] = line = line[split[node[line]]]
+            if not (f and flat[f]):
+                lines[f] = line[stays[line]]
         if len(lines[0]):
             line = lines[0]
             own = node[line]
+            node = np.zeros_like(node)  # whatever is not in a line any more
             node[line] = child[own] + (x[row_of[line], feature[own]] > threshold[own])
         slot = np.repeat(slot[split], 2)
         made, depth = made + count, depth + 1

@@ -392,9 +392,8 @@ def in_sample_predict(
     single = joined.where(F.col("j") < F.col("n") - dynamic_last).select(
         *keys, pos, "j", actual.alias("actual"), mean.alias("mean"), (mean - half).alias("lower"), (mean + half).alias("upper")
     )
-    tail = shocks.select(*keys, pos, "j", "n", "mean", "sd", "z", "e").join(
-        model.select(*keys, "terms", "coef", "_rss", "_fit_n"), keys
-    )
+    slim = shocks.select(*keys, pos, "j", "n", "mean", "sd", "z", "e")
+    tail = match(slim, model.select(*keys, "terms", "coef", "_rss", "_fit_n"), keys)
     tail = tail.where(F.col("j") >= F.col("n") - dynamic_last - reach)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

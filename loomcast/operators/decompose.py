@@ -58,7 +58,9 @@ def stl(
     ``period`` may be a column, one value per series; a missing period gives a zero
     season with the series itself as trend (``status`` "no period").  A series of
     fewer than two periods cannot be decomposed: its parts are NULL and its status is
-    "short".  All others are "ok".  The smoother is sequential over the whole series,
+    "short".  All others are "ok".  Missing positions inside a series keep their place:
+    they are bridged by a straight line for the smoother, so that the phases after a gap
+    stay right, and give no rows.  The smoother is sequential over the whole series,
     so it runs as one task per series of bounded length.
     """
     step = F.lit(period) if isinstance(period, int) else period
@@ -75,7 +77,9 @@ def stl(
             season, trend, resid = (np.full(len(y), np.nan) for _ in range(3))
             status = "short"
         else:
-            season, trend, resid = loess_decompose(y, int(every), robust, seasonal)
+            at = (pdf[pos] - pdf[pos].iloc[0]).to_numpy()
+            whole = y if at[-1] == len(y) - 1 else np.interp(np.arange(at[-1] + 1), at, y)
+            season, trend, resid = (part[at] for part in loess_decompose(whole, int(every), robust, seasonal))
         return pd.DataFrame(
             {pos: pdf[pos], value: y, "season": season, "trend": trend, "resid": resid, "status": status}
         )

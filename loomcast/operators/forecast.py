@@ -84,7 +84,7 @@ def season_repeat_forecast(
     keys = list(keys)
     known = df.where(F.col(value).isNotNull())
     ends = known.groupBy(*keys).agg(F.max(pos).alias("_end"))
-    tail = known.join(ends, keys).where(F.col(pos) > F.col("_end") - period)
+    tail = attach(known, ends, keys).where(F.col(pos) > F.col("_end") - period)
     phase = (F.col(pos) - F.col("_end") + period).cast("int")
     steps = F.sequence(phase, F.lit(horizon), F.lit(period))
     return tail.where(phase <= horizon).select(

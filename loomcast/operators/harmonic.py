@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.blocks import BOUND, known_bound, position, with_totals
 from loomcast.functions.gram import Summed, dot, lags, lagged_fit, row_gram, solve, square
 from loomcast.functions.grouped import per_group
-from loomcast.functions.joins import match
+from loomcast.functions.joins import attach, match
 from loomcast.operators.arma import Z95, continue_series, shock_weights
 from loomcast.session import settle
 
@@ -130,8 +130,10 @@ def harmonic_forecast(
     """Harmonic regression with autoregressive errors for every set and data length.
 
     Returns (scores, forecasts): scores (keys, span, set, n, aic) and, for the set
-    with the lowest AIC of each span, (keys, span, set, step, mean, lower, upper).
-    Span ``half`` uses the later half of a series.
+    with the lowest AIC of each span, (keys, span, set, step, mean, lower, upper, status).
+    Span ``half`` uses the later half of a series.  Every series of ``df`` gets every step
+    asked for; where there is no forecast the values are NULL and ``status`` says why:
+    "no values" or "not fitted" (too short for the waves and lags), otherwise "ok".
     """
     keys = list(keys)
     known = df.where(F.col(value).isNotNull()).select(*keys, pos, value)
@@ -209,4 +211,15 @@ def harmonic_forecast(
         ).astype({"step": "int32"})
 
     extra = "`set` string, step int, mean double, lower double, upper double"
-    return scores, per_group(tail, by_span, by_span, extra, run)
+    found = per_group(tail, by_span, by_span, extra, run)
+    asked = df.groupBy(*keys).agg(F.count(value).alias("_values"))
+    if isinstance(horizon, DataFrame):
+        asked = attach(asked, horizon.select(*keys, "horizon"), keys, "inner")
+    else:
+        asked = asked.withColumn("horizon", F.lit(horizon))
+    steps = F.explode(F.sequence(F.lit(1), F.col("horizon").cast("int"))).alias("step")
+    asked = asked.where("horizon > 0").select(*keys, "_values", F.explode(F.array(*[F.lit(s) for s in spans])).alias("span"), "horizon")
+    asked = asked.select(*by_span, "_values", steps)
+    status = F.when(F.col("_values") == 0, "no values").when(F.col("mean").isNull(), "not fitted").otherwise("ok")
+    told = attach(asked, found, [*by_span, "step"])
+    return scores, told.select(*by_span, "set", "step", "mean", "lower", "upper", status.alias("status"))

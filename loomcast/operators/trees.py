@@ -46,7 +46,7 @@ BOOSTED_GRID = {
     "trees": [1000],
     "depth": [3],
 }
-LAG_FOREST_GRID = {"trees": [1000]}
+LAG_FOREST_GRID = {"min_split": [2, 5, 10, 15, 100], "trees": [1000]}
 DEFAULTS = {"depth": 10**6, "min_leaf": 1, "min_split": 2, "trees": 100, "rate": 1.0}
 
 #: Rows of a series that one task takes; longer ones grow from summed cells.

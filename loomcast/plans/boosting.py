@@ -60,12 +60,10 @@ def lag_table(
     own = F.map_from_entries(F.collect_list(F.struct("feature", F.col("sign_lag").cast("int"))))
     lags = found.groupBy(*keys).agg(own.alias("_lags"))
     lagged = attach(lag_features(level, keys, "i", wanted), lags, keys)
-    for c in features:
-        used = F.coalesce(F.try_element_at("_lags", F.lit(c)), F.lit(0))
-        for h in range(1, wanted[c] + 1):
-            lagged = lagged.withColumn(f"{c}_{h}", F.when(used >= h, F.col(f"{c}_{h}")).otherwise(F.lit(0.0)))
-    names = [*features, *[f"{c}_{h}" for c in features for h in range(1, wanted[c] + 1)]]
-    return found, lagged.drop("_lags"), names
+    own_lag = {c: F.coalesce(F.try_element_at("_lags", F.lit(c)), F.lit(0)) for c in features}
+    made = {f"{c}_{h}": (own_lag[c], h) for c in features for h in range(1, wanted[c] + 1)}
+    used = {name: F.when(lag >= h, F.col(name)).otherwise(F.lit(0.0)) for name, (lag, h) in made.items()}
+    return found, settle(lagged.withColumns(used).drop("_lags")), [*features, *made]
 
 
 def only_chosen(df: DataFrame, chosen: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

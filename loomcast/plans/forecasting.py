@@ -70,7 +70,8 @@ def forecast_panel(
         by_setting.setdefault(setting, []).append(name)
     horizons = forecast_horizon(df, [key], target).where("horizon > 0")
     chosen = [(s, F.col(key).isin(*names)) for s, names in by_setting.items()]
-    chosen.append((default, ~F.col(key).isin(*settings) if settings else F.lit(True)))
+    # a null key is in no list of settings
+    chosen.append((default, ~F.coalesce(F.col(key).isin(*settings), F.lit(False)) if settings else F.lit(True)))
     branches = []
     for setting, mine in chosen:
         known = df.where(mine & F.col(target).isNotNull()).select(key, order, target)

@@ -111,7 +111,7 @@ def prepare_panel(
     detrended = settle(detrended)
     changed, tests = difference_until_stationary(detrended, by_variable, "i", "detrended")
     wide = to_matrix(changed, [*keys, "i"], "variable", "stationary", features)
-    panel = imputed.select(*rest, "i").join(wide, [*keys, "i"])
+    panel = match(imputed.select(*rest, "i"), wide, [*keys, "i"])
     return Prepared(
         panel,
         profile,

@@ -5,9 +5,10 @@ import pandas as pd
 import pytest
 
 from loomcast.functions.joins import attach
-from loomcast.operators import decompose, forecast, profile, trend
+from loomcast.operators import arma, decompose, forecast, harmonic, profile, trend
 from loomcast.operators.reshape import series_index
 from loomcast.operators.stationarity import difference_until_stationary
+from loomcast.session import settle
 from pyspark.sql import functions as F
 
 
@@ -85,7 +86,38 @@ def test_every_step_comes_back(uneven):
     truth = 10 + 3 * np.sin(2 * np.pi * (300 + np.arange(60)) / 52)
     for name in ("long", "gappy"):
         guess = found[found.k == name].sort_values("step")["mean"].to_numpy()
-        assert np.abs(guess - truth).mean() < 1.0  # out of phase it would be about 2
+        assert np.abs(guess - truth).mean() < 0.6, name  # out of phase it would be about 2
+
+
+def test_harmonic_steps_come_back(uneven):
+    _, found = harmonic.harmonic_forecast(uneven, ["k"], "i", "v", 5, {"year": (52,)})
+    found = found.toPandas()
+    assert len(found) == 6 * 2 * 5
+    status = {(None if isinstance(k, float) else k): set(g.status) for k, g in found.groupby("k", dropna=False)}
+    assert status["long"] == status["gappy"] == status[None] == {"ok"}
+    assert "not fitted" in status["short"] and status["none"] == {"no values"}
+    assert (found["mean"].notna() == (found.status == "ok")).all()
+
+
+def test_in_sample_keeps_null_keys(uneven):
+    shocks = settle(arma.innovations(uneven.where("k is null or k = 'long'"), ["k"], "i", "v"))
+    fits = arma.arma_grid(shocks, ["k"], [1], [0])
+    found = arma.in_sample_predict(shocks, fits, ["k"], "i", 50)
+    assert {r.k: r["count"] for r in found.groupBy("k").count().collect()} == {"long": 300, None: 250}
+
+
+def test_panel_forecast_keeps_null_keys(uneven):
+    from loomcast.plans.forecasting import Setting, forecast_panel
+
+    asked = uneven.where("k is null or k = 'long'").withColumn("v", F.when(F.col("i") < 240, F.col("v")))
+    found = forecast_panel(asked, "k", "i", "v", ["k", "i"], {"long": Setting((1, 1), 52)}, Setting((1, 1), 52))
+    rows = found.toPandas()
+    assert len(rows) == 60 + 10 and rows["v"].notna().all()
+
+
+def test_series_repeat_keeps_null_keys(uneven):
+    found = forecast.season_repeat_forecast(uneven.where("k is null"), ["k"], "i", "v", 52, 60)
+    assert found.count() == 60
 
 
 def test_combined_forecasts_keep_missing_rows(spark):
