@@ -72,6 +72,9 @@ BEFORE, AFTER = 24, 8
 SURE = 0.9
 EM_ROUNDS = 50
 LABELERS = 5
+#: The labelers whose opinions are features, and the classes of a character beside a span.
+OPINIONS = ("gazetteer", "context", "plausible", "boundary")
+SIDES = 5
 
 
 def digits(match: Column) -> Column:
@@ -118,7 +121,7 @@ def candidates(text: Column, kind: str, base: bool) -> Column:
             F.length(g).alias("gap"), F.right(g, F.lit(BEFORE)).alias("before"), F.left(g, F.lit(AFTER)).alias("after")
         ),
     )
-    found = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"), cut.alias("cut"), F.slice(cut, 2, 2**31 - 1).alias("next"))
+    found = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"), cut.alias("cut"), F.slice(cut, F.lit(2), F.size(cut)).alias("next"))
     rows = F.transform(
         F.filter(found, lambda z: z["match"].isNotNull()),
         lambda z: F.struct(
@@ -152,8 +155,12 @@ def votes(kind: str, base: bool, match: Column, before: Column, after: Column) -
     return [form, known, told, sound, yes(free)]
 
 
-def features(match: Column, before: Column, after: Column) -> list[Column]:
-    """Span features as short strings; each has a bounded set of values."""
+def features(votes: Column, before: Column, after: Column) -> list[Column]:
+    """Span features as short strings, which base and loose forms share: opinions and the characters on both sides.
+
+    A labeler without an opinion says nothing; the format's vote is left out, as it
+    belongs to base forms alone.
+    """
 
     def side(text: Column, pattern: str) -> Column:
         edge = F.regexp_extract(text, pattern, 1)
@@ -162,31 +169,48 @@ def features(match: Column, before: Column, after: Column) -> list[Column]:
             .when(F.rlike(edge, F.lit(r"\p{N}")), "digit").when(F.rlike(edge, F.lit(r"\s")), "space").otherwise("other")
         )
 
-    marks = F.left(F.regexp_replace(match, "[^ ().+@_%/{}\\[\\]-]", ""), F.lit(3))
-    return [
-        F.concat(F.lit("marks "), marks),
-        F.concat(F.lit("length "), F.least(F.length(match), F.lit(40)).cast("string")),
-        F.concat(F.lit("digits "), F.least(F.length(digits(match)), F.lit(20)).cast("string")),
-        F.concat(F.lit("before "), side(before, r"(?s)(.)$")),
-        F.concat(F.lit("after "), side(after, r"(?s)^(.)")),
-    ]
+    opinions = [F.concat(F.lit(f"{name} "), votes[k + 1].cast("string")) for k, name in enumerate(OPINIONS)]
+    return [*opinions, F.concat(F.lit("before "), side(before, r"(?s)(.)$")), F.concat(F.lit("after "), side(after, r"(?s)^(.)"))]
+
+
+def feature_weights(counts: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """Log odds of each feature value from its soft counts (personal data, other).
+
+    Opinions start from a few votes that lean to labelers being better than chance. A side's
+    characters start from no difference between the classes, so without any counter-example
+    they say nothing.
+    """
+    weights: dict[str, float] = {}
+    for name in OPINIONS:
+        yes, no = ({v: counts.get(f"{name} {v}", (0.0, 0.0))[c] for v in (1, -1)} for c in (0, 1))
+        for v in (1, -1):
+            lean = (3, 1) if v == 1 else (1, 3)
+            weights[f"{name} {v}"] = math.log((yes[v] + lean[0]) / (sum(yes.values()) + 4)) - math.log((no[v] + lean[1]) / (sum(no.values()) + 4))
+    for name in ("before", "after"):
+        own = {k: c for k, c in counts.items() if k.startswith(name + " ")}
+        yes, no = (sum(c[k] for c in own.values()) for k in (0, 1))
+        for key, (y, x) in own.items():
+            share = (y + 1) / (yes + SIDES)
+            weights[key] = math.log(share) - math.log((x + SIDES * share) / (no + SIDES))
+    return weights
 
 
 @dataclass(frozen=True)
 class SpanModel:
-    """By kind: how likely a vote pattern is personal data, and the classifier's log odds."""
+    """By kind: how often each labeler's votes are right, and the classifier's log odds."""
 
-    reliability: dict[str, list[float]]  # by kind: how often each labeler's votes are right
-    prior: dict[str, float]
+    reliability: dict[str, list[float]]
     weights: dict[str, dict[str, float]]
 
-    def sure(self, kind: str, match: Column, before: Column, after: Column) -> Column:
+    def sure(self, kind: str, votes: Column, before: Column, after: Column) -> Column:
+        """Whether a loose candidate is personal data. Both classes count as equally likely beforehand:
+        how common base forms are says nothing about loose ones."""
         weights = self.weights.get(kind, {})
         if not weights:
             return F.lit(False)
         table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair])
-        score = F.lit(self.prior[kind])
-        for name in features(match, before, after):
+        score = F.lit(0.0)
+        for name in features(votes, before, after):
             score = score + F.coalesce(F.try_element_at(table, name), F.lit(0.0))
         return score >= math.log(SURE / (1 - SURE))
 
@@ -212,7 +236,9 @@ def em(patterns: list[tuple[tuple[int, ...], int]], fixed: dict[int, float] | No
                 for p, (v, n) in zip(likely, patterns):
                     if v[k]:
                         seen[v[k]] += n * (p if truth else 1 - p)
-                chance[k, truth] = {v: x / sum(seen.values()) for v, x in seen.items()}
+                # a labeler is no worse than chance in either class, or the classes could change places
+                wrong = min(0.5, seen[-1 if truth else 1] / sum(seen.values()))
+                chance[k, truth] = {1: 1 - wrong, -1: wrong} if truth else {1: wrong, -1: 1 - wrong}
         for i, (v, _) in enumerate(patterns):
             if v[0] not in fixed:
                 odds = math.log(prior / (1 - prior))
@@ -243,7 +269,17 @@ def propose(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "_row", "kind", "base", (F.col("end") - size).alias("start"), "end",
         F.col("f.match").alias("match"), F.col("f.before").alias("before"), F.col("f.after").alias("after"),
     )
-    return rows.select("_row", "doc_id"), keep(judged(spans), "spans")
+    return rows.select("_row", "doc_id"), keep(uncovered(judged(spans)), "spans")
+
+
+def uncovered(spans: DataFrame) -> DataFrame:
+    """All base matches, and the loose ones that overlap no base span of any kind."""
+    line = Window.partitionBy("_row").orderBy("start", "end", "kind", "base")
+    past, ahead = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
+    reach = F.max(F.when(F.col("valid"), F.col("end"))).over(past)
+    coming = F.min(F.when(F.col("valid"), F.col("start"))).over(ahead)
+    clear = (F.coalesce("_reach", F.lit(-1)) <= F.col("start")) & (F.coalesce(F.col("_coming"), F.col("end")) >= F.col("end"))
+    return spans.withColumns({"_reach": reach, "_coming": coming}).filter(F.col("base") | clear).drop("_reach", "_coming")
 
 
 def _by_kind(build) -> Column:
@@ -275,33 +311,29 @@ def learn(spans: DataFrame) -> SpanModel:
             found, _, reliability[kind] = em(patterns, {1: 0.98, -1: 0.02})
             likely += [(kind, list(v), p) for (v, _), p in zip(patterns, found)]
     if not likely:
-        return SpanModel({}, {}, {})
+        return SpanModel({}, {})
     given = spans.sparkSession.createDataFrame(likely, "kind string, votes array<int>, likely double")
     soft = spans.join(F.broadcast(given), ["kind", "votes"]).select(
-        "kind", "likely", F.array(F.lit("all"), *features(F.col("match"), F.col("before"), F.col("after"))).alias("f")
+        "kind", "likely", F.array(*features(F.col("votes"), F.col("before"), F.col("after"))).alias("f")
     )
     sums = soft.select("kind", F.explode("f").alias("name"), "likely").groupBy("kind", "name")
     sums = sums.agg(F.round(F.sum("likely"), 6).alias("yes"), F.round(F.sum(1 - F.col("likely")), 6).alias("no")).collect()
-    prior, weights = {}, {}
+    weights = {}
     for kind in KINDS:
         own = {r["name"]: (r["yes"], r["no"]) for r in sums if r["kind"] == kind}
         if own:
-            yes, no = own.pop("all")
-            prior[kind] = math.log((yes + 1) / (no + 1))
-            weights[kind] = {n: math.log((y + 0.5) / (yes + 1)) - math.log((x + 0.5) / (no + 1)) for n, (y, x) in own.items()}
-    return SpanModel(reliability, prior, weights)
+            weights[kind] = feature_weights(own)
+    return SpanModel(reliability, weights)
 
 
 def accepted(spans: DataFrame, model: SpanModel) -> DataFrame:
-    """(_row, kind, start, end, valid): base spans, and sure loose ones that touch no base span of their kind."""
-    own = (F.col("match"), F.col("before"), F.col("after"))
+    """(_row, kind, start, end, valid): base spans, and sure loose ones, of overlapping ones of a kind the first."""
+    own = (F.col("votes"), F.col("before"), F.col("after"))
     sure = _by_kind(lambda kind, base: F.lit(False) if base else model.sure(kind, *own))
     good = spans.withColumn("_sure", sure).filter("valid or _sure")
-    line = Window.partitionBy("_row", "kind").orderBy("start", "end")
-    past, ahead = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
-    good = good.withColumn("_to", F.max(F.when(F.col("valid"), F.col("end"))).over(past))
-    good = good.withColumn("_from", F.min(F.when(F.col("valid"), F.col("start"))).over(ahead))
-    clear = (F.coalesce("_to", F.lit(-1)) <= F.col("start")) & (F.coalesce(F.col("_from"), F.col("end")) >= F.col("end"))
+    before = Window.partitionBy("_row", "kind").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    good = good.withColumn("_to", F.max("end").over(before))
+    clear = F.coalesce("_to", F.lit(-1)) <= F.col("start")
     return good.filter(F.col("valid") | clear).select("_row", "kind", "start", "end", "valid")
 
 
@@ -341,7 +373,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def _replaced(text: Column, kind: str, base: bool, model: SpanModel) -> Column:
     def shown(z: Column) -> Column:
-        good = passes(kind, z["match"]) if base else model.sure(kind, z["match"], z["before"], z["after"])
+        if base:
+            good = passes(kind, z["match"])
+        else:
+            opinions = F.array(*votes(kind, base, z["match"], z["before"], z["after"]))
+            good = model.sure(kind, opinions, z["before"], z["after"])
         return F.when(good, F.lit(TAG[kind])).otherwise(z["match"])
 
     pieces = F.zip_with(

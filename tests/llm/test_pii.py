@@ -72,6 +72,46 @@ def test_the_classifier_adds_loose_spans(spark):
     assert len(added) >= 50 and all(k < 60 for k in added)
 
 
+LOOSE = {
+    "email": ["write to bob (at) example (dot) com", "mail: al.b [at] mail [dot] org now", "contact sue at shop dot net please"],
+    "ip": ["server 10[.]20[.]30[.]40 is up", "the host 81(.)9(.)7(.)250, again", "from 93[.]1[.]2[.]3 came"],
+    "card": ["card 4111.1111.1111.1111 expired", "paid by visa 4012_8888_8888_1881", "credit 5555/5555/5555/4444 used"],
+    "phone": ["call 555-123-4567", "tel (212) 555-0199 at noon", "phone 0049 30 1234567 home"],
+}
+HARMLESS = [
+    "version 1[.]2[.]3[.]999 is out", "order 4111.1111.1111.1112 shipped", "isbn 123-456-7890", "meet at noon dot nothing123",
+    "serial 1234/5678/9012/3456", "invoice 555-123-4567 paid", "look at this dot", "id x555-123-4567y",
+]
+BASE = ["a.b@example.com", "10.1.2.3", "4111 1111 1111 1111", "+1 212 555 0100", "300.1.1.1", "1234 5678 9012 3456", "no data here"]
+
+
+def test_loose_forms_are_found_and_placed(spark):
+    draw = random.Random(5)
+    planted = [(kind, t) for kind, texts in LOOSE.items() for t in texts] * 8
+    texts = [t for _, t in planted] + HARMLESS * 4 + [f"word {draw.choice(BASE)} word" for _ in range(300)]
+    got = {r.doc_id: r for r in check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), texts)}
+    found = 0
+    for k, (kind, text) in enumerate(planted):
+        for span in filter(None, got[k].spans.split(",")):
+            name, a, b = span.split(":")
+            assert name == kind and re.search(pii.LOOSE[kind].replace(r"\G|", ""), text).span() == (int(a), int(b))
+            found += 1
+    assert found >= 0.9 * len(planted)
+    assert sum(got[k].n_added for k in range(len(planted), len(texts))) == 0
+
+
+def test_labelers_vote_both_ways(spark):
+    texts = [t for own in LOOSE.values() for t in own] + HARMLESS + BASE + ["x10.1.2.3y", "ref +1 212 555 0100", "a@b.zzzzzzzzzzzzz", "0.0.0.1", "9999999999999995"]
+    _, spans = pii.propose(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    seen = {}
+    for r in spans.collect():
+        for k, vote in enumerate(r.votes):
+            seen.setdefault(k, set()).add(vote)
+    assert all({1, -1} <= seen[k] for k in range(pii.LABELERS))
+    context = {(r.match, r.before[-5:], r.after[:3]) for r in spans.collect()}
+    assert ("555-123-4567", "call ", "") in context and ("10[.]20[.]30[.]40", "rver ", " is") in context
+
+
 def test_em_finds_the_reliable_labelers():
     draw, patterns = random.Random(2), {}
     for _ in range(4000):
