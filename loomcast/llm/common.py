@@ -32,6 +32,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name made from ``name`` that ``df`` does not have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def python_ready(df: DataFrame) -> DataFrame:
     """Let the Python workers import this package, then return ``df``."""
     ship_package(df.sparkSession)

@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import keep, one_space
+from loomcast.llm.common import free_name, keep, one_space
 
 #: A chunk ends after the first sentence end past the least size, at the latest at the
 #: largest size, or with the text.
 LEAST, MOST = 512, 4096
+#: Bytes up to which the tags of the rows that go are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def chunks(text: Column, least: int = LEAST, most: int = MOST) -> Column:
@@ -81,11 +83,23 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were.
 
-    One row stays of each group of equal texts: one with the group's smallest id (or a
-    null id, where the group has no other).
+    One row stays of each group of equal texts: one with the group's smallest id (a null id
+    only where the group has no other), of several such rows the first in the table. Only
+    row tags, ids and digests move to find the rows that go. These are broadcast up to
+    ``BROADCAST_BYTES``, so that no document moves; more of them are joined by one shuffle.
+    A row goes only where its tag and its text's hash agree, so a table that is read in
+    another order the second time loses no document.
     """
-    stays = exact_duplicates(docs, id_col, text_col).filter("kept").select("doc_id", "text_sha256").distinct()
-    stays = stays.toDF("_id", "_sha")
-    own = docs.withColumn("_text_sha256", F.sha2(one_space(F.col(text_col)), 256))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_sha256") == F.col("_sha"))
-    return own.join(stays, same, "left_semi").dropDuplicates([id_col, "_text_sha256"]).drop("_text_sha256")
+    if not unverified(chunk_store(docs, text_col)).isEmpty():
+        raise RuntimeError("two different chunks have the same identifier")
+    row = free_name(docs, "row")
+    tagged = docs.withColumn(row, F.monotonically_increasing_id())
+    who = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"), F.xxhash64(text_col).alias("hash"))
+    listed = keep(recipes(tagged.select(who.alias("who"), F.col(text_col).alias("text")), "who", "text").drop("text_sha256"), "recipe-rows")
+    first = listed.groupBy("recipe").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    gone = listed.join(keep(first, "recipe-first"), "recipe").filter(F.col("doc_id.row") != F.col("first.row"))
+    gone = keep(gone.select(F.col("doc_id.row").alias("_gone_row"), F.col("doc_id.hash").alias("_gone_hash")), "copies")
+    if gone.count() * 32 <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
+    same = (tagged[row] == gone["_gone_row"]) & (F.xxhash64(tagged[text_col]) == gone["_gone_hash"])
+    return tagged.join(gone, same, "left_anti").drop(row)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import keep, python_ready, slices
+from loomcast.llm.common import free_name, keep, python_ready, slices
 from loomcast.llm.components import components
 from loomcast.llm.shingles import ROW_BITS, shingle_sets
 
@@ -447,5 +447,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, all columns as they were."""
-    stays = near_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    stay = free_name(docs, "stay")
+    stays = near_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias(stay)).distinct()
+    return docs.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col(stay)), "left_semi")

@@ -11,6 +11,7 @@ features that carry the grade.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -31,6 +32,8 @@ SAMPLE_ROWS = 6000
 WORDS = 4096
 #: A feature must occur in this many texts of the sample.
 LEAST_TEXTS = 5
+#: Features that may enter by chance, of all that were tried.
+CHANCE = 0.05
 #: A feature needs about this share of the sample's texts to carry weight: 6 of 6,000.
 L1 = 0.001
 #: Penalty on squared weights when the chosen words are fitted again without the L1 shrinkage.
@@ -243,6 +246,19 @@ def _fit_twice(numbered: list[np.ndarray], grades: np.ndarray, width: int, l1: f
     return w, theta
 
 
+def telling(texts: int, toxic: int, rate: float, tried: int) -> bool:
+    """Whether a feature is toxic in more of its texts than chance explains, given how many features were tried.
+
+    The binomial tail is at most exp(-texts * KL(share, rate)); ``CHANCE`` features in all
+    may pass by chance. Small samples have many features that only toxic texts happen to hold.
+    """
+    share = toxic / texts
+    if not 0 < rate < share:
+        return False
+    part = (1 - share) * math.log((1 - share) / (1 - rate)) if share < 1 else 0.0
+    return texts * (share * math.log(share / rate) + part) >= math.log(tried / CHANCE)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -287,8 +303,11 @@ def train(
     rate = bad / n if n else 0.0
     # how far the toxic share of a word's texts lies from that of all, in deviations
     z = (F.col("b") - F.col("c") * rate) / F.sqrt(F.col("c") * max(rate * (1 - rate), 1e-9))
-    told = counts.orderBy(F.abs(z).desc(), "word").limit(words).select("word").collect()
-    place = {row["word"]: k for k, row in enumerate(sorted(told))}
+    counts = keep(counts, "feature-counts")
+    tried = counts.count()
+    told = counts.orderBy(z.desc(), "word").limit(words).collect()
+    told = [row["word"] for row in told if telling(row["c"], row["b"], rate, tried)]
+    place = {word: k for k, word in enumerate(sorted(told))}
     known = F.array(*[F.lit(w) for w in place]) if place else F.array().cast("array<string>")
     slim_lists = lists.select("grade", F.array_intersect("words", known).alias("words")).toPandas()
     grades = slim_lists["grade"].to_numpy(dtype=np.int64)

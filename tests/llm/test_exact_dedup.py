@@ -52,3 +52,23 @@ def test_without_copies(odd):
     left = without_copies(table)
     assert left.columns == table.columns
     assert sorted(r.doc_id for r in left.collect()) == sorted({x[0] for x in brute(rows) if x[3]})
+
+
+def test_no_document_moves_to_drop_copies(spark):
+    rows = [(k % 40, f"text {k % 30} {'x' * 50}", "a", 1) for k in range(90)] + [(None, "text 1 " + "x" * 50, "a", 1), (5, None, "a", 1), (6, "", "a", 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _text_sha256 string, row int")
+    left = without_copies(table)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    got = left.collect()
+    assert left.columns == table.columns and len(got) == 31
+    best = {}
+    for i, t, *_ in rows:
+        best[t or ""] = min(best.get(t or "", 10**9), 10**9 if i is None else i)
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted((i, t) for t, i in best.items())
+
+
+def test_many_copies_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr("loomcast.llm.exact_dedup.BROADCAST_BYTES", 0)
+    table = spark.createDataFrame([(k, f"t{k % 7}") for k in range(50)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in without_copies(table).collect()) == list(range(7))
