@@ -10,6 +10,7 @@ from catalog.statistics import wave
 from loomcast.operators import arma as A
 from loomcast.operators import forecast as C
 from loomcast.operators import harmonic as N
+from loomcast.operators import likelihood as K
 from loomcast.operators import models as M
 from loomcast.operators import regression as L
 from loomcast.operators import selection as G
@@ -213,6 +214,45 @@ def _(spark, sf):
     return _scores(A.best_spec(_grid(spark, sf, range(0, 4), range(0, 4), [0, 52]), ["k"]))
 
 
+@query(
+    "arma_likelihood_ar1",
+    # the first value and the one-step errors, each weighted by its own variance
+    f"""WITH {WEEKLY}, z AS (SELECT k, i, stddev_pop(y) OVER w AS sd, (y - avg(y) OVER w) / stddev_pop(y) OVER w AS z FROM s WINDOW w AS (PARTITION BY k)),
+l AS (SELECT *, lag(z) OVER (PARTITION BY k ORDER BY i) AS x FROM z),
+g AS (SELECT k, count(*) AS n, any_value(sd) AS sd, sum(CASE WHEN x IS NULL THEN 0.75 * z * z ELSE (z - 0.5 * x) * (z - 0.5 * x) END) AS q FROM l GROUP BY k)
+SELECT k, CAST(n AS BIGINT) AS n, round(-n / 2.0 * (ln(2 * pi() * q / n) + 1) + ln(0.75) / 2 - n * ln(sd), 5) AS loglik FROM g""",
+)
+def _(spark, sf):
+    shocks = settle(_shocks(spark, sf))
+    given = shocks.select("k").distinct().select(
+        "k", F.array(F.lit(0.5)).alias("phi"), F.array().cast("array<double>").alias("theta"), F.lit(0.0).alias("mean")
+    )
+    return rounded(K.arma_log_likelihood(shocks, given, ["k"]), 5, "loglik")
+
+
+@query(
+    "arma_likelihood_noise",
+    # order (0, 0): the normal density of a constant with its own variance
+    f"WITH {WEEKLY} SELECT k, CAST(count(*) AS BIGINT) AS n, round(-count(*) / 2.0 * (ln(2 * pi() * var_pop(y)) + 1), 4) AS loglik, "
+    "round(count(*) * (ln(2 * pi() * var_pop(y)) + 1) + 4, 4) AS aic FROM s GROUP BY k",
+)
+def _(spark, sf):
+    found = K.likelihood_grid(_shocks(spark, sf), ["k"], [0], [0])
+    return rounded(found.select("k", "n", "loglik", "aic"), 4, "loglik", "aic")
+
+
+@query("arma_likelihood_grid")
+def _(spark, sf):
+    found = K.likelihood_grid(_shocks(spark, sf), ["k"], range(1, 7), range(1, 11))
+    return rounded(found.select("k", "p", "q", "n", "loglik", "aic", "bic", "status"), 3, "loglik", "aic", "bic")
+
+
+@query("seasonal_likelihood_forecast")
+def _(spark, sf):
+    found = C.seasonal_arma_forecast(weekly(spark, sf), ["k"], "i", "y", (3, 1), 52, 60, likelihood=True)
+    return rounded(found, 2, "mean", "lower", "upper")
+
+
 @query("fit_summary")
 def _(spark, sf):
     table = A.fit_summary(_grid(spark, sf, [1], [1]), ["k"])

@@ -11,6 +11,7 @@ from loomcast.functions.blocks import position, with_totals
 from loomcast.functions.joins import attach
 from loomcast.operators.arma import arma_forecast, arma_grid, innovations
 from loomcast.operators.decompose import additive_adjust, stl
+from loomcast.operators.likelihood import likelihood_grid
 from loomcast.operators.windows import clip_negative, round_forecast
 from loomcast.session import settle
 
@@ -41,9 +42,13 @@ def seasonal_arma_forecast(
     period: int,
     horizon: int | DataFrame,
     clip: bool = True,
+    likelihood: bool = False,
 ) -> DataFrame:
     """(keys, step, mean, lower, upper, status): robust decomposition, ARMA on the rest, last season added back.
 
+    The order is fitted by two-stage least squares or, with ``likelihood``, by exact maximum
+    likelihood.
+
     Every series of ``df`` gets every step asked for.  Where there is no forecast, the
     values are NULL and ``status`` tells why: "no values", "short" (fewer than two
     periods), "not fitted" (the order cannot be fitted) or "no season" (no known value in
@@ -53,7 +58,8 @@ def seasonal_arma_forecast(
     # the decomposition is the dear step and is read several times below
     parts = settle(seasonal_parts(df, keys, pos, value, period))
     shocks = innovations(parts, keys, pos, "adjusted")
-    fits = arma_grid(shocks, keys, [order[0]], [order[1]])
+    grid = likelihood_grid if likelihood else arma_grid
+    fits = grid(shocks, keys, [order[0]], [order[1]])
     ahead = arma_forecast(shocks, fits.where(F.col("coef").isNotNull()), keys, horizon)
     asked = df.select(*keys).distinct()
     if isinstance(horizon, DataFrame):
