@@ -241,6 +241,30 @@ def _(spark, sf):
     return rounded(found.select("k", "n", "loglik", "aic"), 4, "loglik", "aic")
 
 
+@query(
+    "arma_likelihood_season",
+    # a coefficient at lag 52 alone: 52 interleaved first-order series
+    f"""WITH {WEEKLY}, z AS (SELECT k, i, stddev_pop(y) OVER w AS sd, (y - avg(y) OVER w) / stddev_pop(y) OVER w AS z FROM s WINDOW w AS (PARTITION BY k)),
+l AS (SELECT *, lag(z, 52) OVER (PARTITION BY k ORDER BY i) AS x FROM z),
+g AS (SELECT k, count(*) AS n, any_value(sd) AS sd, sum(CASE WHEN x IS NULL THEN 0.84 * z * z ELSE (z - 0.4 * x) * (z - 0.4 * x) END) AS q FROM l GROUP BY k)
+SELECT k, CAST(n AS BIGINT) AS n, round(-n / 2.0 * (ln(2 * pi() * q / n) + 1) + 52 * ln(0.84) / 2 - n * ln(sd), 5) AS loglik FROM g""",
+)
+def _(spark, sf):
+    shocks = settle(_shocks(spark, sf))
+    phi = F.concat(F.array_repeat(F.lit(0.0), 51), F.array(F.lit(0.4)))
+    given = shocks.select("k").distinct().select(
+        "k", phi.alias("phi"), F.array().cast("array<double>").alias("theta"), F.lit(0.0).alias("mean")
+    )
+    return rounded(K.arma_log_likelihood(shocks, given, ["k"]), 5, "loglik")
+
+
+@query("seasonal_product_grid")
+def _(spark, sf):
+    found = K.likelihood_grid(_shocks(spark, sf), ["k"], [0, 1], [0, 1], [(0, 0, 0), (1, 0, 52), (0, 1, 52), (1, 1, 52)])
+    kept = found.select("k", "season", "p", "q", "sp", "sq", "n", "loglik", "aic", "bic", "status")
+    return rounded(kept, 3, "loglik", "aic", "bic")
+
+
 @query("arma_likelihood_grid")
 def _(spark, sf):
     found = K.likelihood_grid(_shocks(spark, sf), ["k"], range(1, 7), range(1, 11))

@@ -29,6 +29,18 @@ def stationary(partial: np.ndarray) -> np.ndarray:
     return out
 
 
+def product(short: np.ndarray, seasonal: np.ndarray, season: int, sign: int) -> np.ndarray:
+    """Coefficients of (1 + sign * short)(1 + sign * seasonal at multiples of the season), less the leading one, [sets, lags]."""
+    p, many = short.shape[1], seasonal.shape[1]
+    base = np.concatenate([np.ones((len(short), 1)), sign * short], axis=1)
+    out = np.zeros((len(short), p + season * many + 1))
+    out[:, : p + 1] = base
+    for k in range(many):
+        at = (k + 1) * season
+        out[:, at : at + p + 1] += sign * seasonal[:, k : k + 1] * base
+    return sign * out[:, 1:]
+
+
 @dataclass(frozen=True)
 class Gains:
     """The gains of the filter for each set until they settle: [steps, sets, r] and [steps, sets]."""
@@ -47,21 +59,18 @@ def _start(wide: np.ndarray, shock: np.ndarray) -> np.ndarray:
     sets, r = wide.shape
     psi = np.zeros((sets, r + 1))  # answers to a unit shock
     for k in range(r + 1):
-        psi[:, k] = shock[:, k] if k < r else 0.0
-        for j in range(min(k, r)):
-            psi[:, k] += wide[:, j] * psi[:, k - 1 - j]
+        psi[:, k] = (shock[:, k] if k < r else 0.0) + (wide[:, :k] * psi[:, :k][:, ::-1]).sum(axis=1)
     system, right = np.broadcast_to(np.eye(r + 1), (sets, r + 1, r + 1)).copy(), np.zeros((sets, r + 1))
-    for k in range(r + 1):
-        for j in range(r):
-            system[:, k, abs(k - 1 - j)] -= wide[:, j]
-        for j in range(k, r):
-            right[:, k] += shock[:, j] * psi[:, j - k]
+    lines = np.arange(r + 1)
+    for j in range(r):
+        system[:, lines, np.abs(lines - 1 - j)] -= wide[:, j : j + 1]
+    for k in range(r):
+        right[:, k] = (shock[:, k:] * psi[:, : r - k]).sum(axis=1)
     gamma = np.linalg.solve(system, right[:, :, None])[:, :, 0]
     out = np.zeros((sets, r))
     out[:, 0] = gamma[:, 0]
     for i in range(1, r):
-        for j in range(i, r):
-            out[:, i] += wide[:, j] * gamma[:, 1 + j - i] + shock[:, j] * psi[:, j - i]
+        out[:, i] = (wide[:, i:] * gamma[:, 1 : 1 + r - i]).sum(axis=1) + (shock[:, i:] * psi[:, : r - i]).sum(axis=1)
     return out
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.grouped import key_schema
 from loomcast.functions.joins import attach
-from loomcast.functions.kalman import Block, Search, gains, joined, log_likelihood, stationary, summarised
+from loomcast.functions.kalman import Block, Search, gains, joined, log_likelihood, product, stationary, summarised
 from loomcast.session import settle
 
 #: Rows of a series that one task searches as a whole, and rows of a block of a longer one.
@@ -28,24 +28,33 @@ LOCAL_ROWS, BLOCK_ROWS = 20_000, 20_000
 ROUNDS = 80
 
 
-def _coefficients(orders: Sequence[tuple[int, int]], points: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(phi, theta, mean) of all points of all orders, padded with zeros to the largest orders."""
-    top_p, top_q = (max((o[k] for o in orders), default=0) for k in (0, 1))
-    phi, theta, mean = [], [], []
-    for (p, q), own in zip(orders, points):
-        a, b = np.zeros((len(own), top_p)), np.zeros((len(own), top_q))
-        a[:, :p], b[:, :q] = stationary(own[:, :p]), -stationary(own[:, p : p + q])
-        phi.append(a)
-        theta.append(b)
-        mean.append(own[:, -1])
-    return np.concatenate(phi), np.concatenate(theta), np.concatenate(mean)
+#: p, q, seasonal p, seasonal q, season (0: none).
+Order = tuple[int, int, int, int, int]
 
 
-def _start(z: np.ndarray, p: int, q: int) -> np.ndarray:
-    """Partial autocorrelations of the series, no moving average, the mean of a standardised series."""
+def _coefficients(orders: Sequence[Order], points: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(phi, theta, mean) of all points of all orders, multiplied out and padded with zeros to the longest."""
+    parts = []
+    for (p, q, sp, sq, season), own in zip(orders, points):
+        cuts = np.cumsum([0, p, q, sp, sq])
+        ar, ma, seasonal_ar, seasonal_ma = (stationary(own[:, a:b]) for a, b in zip(cuts, cuts[1:]))
+        parts.append((product(ar, seasonal_ar, season, -1), product(-ma, -seasonal_ma, season, 1), own[:, -1]))
+    top = [max((x[k].shape[1] for x in parts), default=0) for k in (0, 1)]
+    wide = [np.concatenate([np.pad(x[k], ((0, 0), (0, top[k] - x[k].shape[1]))) for x in parts]) for k in (0, 1)]
+    return wide[0], wide[1], np.concatenate([x[2] for x in parts])
+
+
+def _lags(short: int, many: int, season: int) -> list[int]:
+    """The lags that a product of a short and a seasonal polynomial can have."""
+    return sorted({i + k * season for i in range(short + 1) for k in range(many + 1)} - {0})
+
+
+def _start(z: np.ndarray, order: Order) -> np.ndarray:
+    """Partial autocorrelations of the series, no other terms, the mean of a standardised series."""
+    p = order[0]
     x, n = z - z.mean(), len(z)
     r = np.array([x[: n - h] @ x[h:] for h in range(p + 1)]) / max(x @ x, 1e-300)
-    out, phi = np.zeros(p + q + 1), np.zeros(0)
+    out, phi = np.zeros(sum(order[:4]) + 1), np.zeros(0)
     for k in range(p):
         rest = 1 - phi @ r[1 : k + 1]
         own = float(np.clip((r[k + 1] - phi @ r[k:0:-1]) / max(rest, 1e-12), -0.95, 0.95))
@@ -55,24 +64,26 @@ def _start(z: np.ndarray, p: int, q: int) -> np.ndarray:
 
 
 FITTED = (
-    "season int, p int, q int, n bigint, loglik double, rss double, aic double, bic double, "
+    "season int, p int, q int, sp int, sq int, n bigint, loglik double, rss double, aic double, bic double, "
     "terms array<string>, coef array<double>, status string"
 )
 
 
-def _row(search: Search, p: int, q: int, n: int, sd: float, squares: float) -> tuple:
-    phi, theta, mean = _coefficients([(p, q)], [search.x[None, :]])
+def _row(search: Search, order: Order, n: int, sd: float, squares: float) -> tuple:
+    p, q, sp, sq, season = order
+    phi, theta, mean = _coefficients([order], [search.x[None, :]])
     loglik = float(search.value) - n * np.log(sd)  # of the series in its own unit
-    k = p + q + 2  # the mean and the shocks' variance, too
-    terms = ["const", *[f"ar_{h}" for h in range(1, p + 1)], *[f"ma_{h}" for h in range(1, q + 1)]]
-    coef = [float(mean[0] * (1 - phi[0].sum())), *phi[0].tolist(), *theta[0].tolist()]
+    k = sum(order[:4]) + 2  # the mean and the shocks' variance, too
+    ar, ma = _lags(p, sp, season), _lags(q, sq, season)
+    terms = ["const", *[f"ar_{h}" for h in ar], *[f"ma_{h}" for h in ma]]
+    coef = [float(mean[0] * (1 - phi[0].sum())), *[float(phi[0, h - 1]) for h in ar], *[float(theta[0, h - 1]) for h in ma]]
     status = "ok" if search.left > 0 else "not converged"
-    return 0, p, q, n, loglik, squares * sd * sd, -2 * loglik + 2 * k, -2 * loglik + k * np.log(n), terms, coef, status
+    return season, p, q, sp, sq, n, loglik, squares * sd * sd, -2 * loglik + 2 * k, -2 * loglik + k * np.log(n), terms, coef, status
 
 
-def _searched(z: np.ndarray, orders: Sequence[tuple[int, int]], sd: float, rounds: int) -> pd.DataFrame:
+def _searched(z: np.ndarray, orders: Sequence[Order], sd: float, rounds: int) -> pd.DataFrame:
     """The best fit of every order to one series."""
-    searches = [Search(_start(z, *o), rounds) for o in orders]
+    searches = [Search(_start(z, o), rounds) for o in orders]
 
     def value(points) -> tuple[np.ndarray, np.ndarray]:
         phi, theta, mean = _coefficients(*points)
@@ -87,14 +98,22 @@ def _searched(z: np.ndarray, orders: Sequence[tuple[int, int]], sd: float, round
             s.tell(found[at : at + size])
             at += size
     _, squares = value((orders, [s.x[None, :] for s in searches]))
-    rows = [_row(s, *o, len(z), sd, own) for o, s, own in zip(orders, searches, squares)]
+    rows = [_row(s, o, len(z), sd, own) for o, s, own in zip(orders, searches, squares)]
     return pd.DataFrame(rows, columns=[c.split()[0] for c in FITTED.split(", ")])
 
 
 def likelihood_grid(
-    shocks: DataFrame, keys: Sequence[str], p: Sequence[int], q: Sequence[int], rounds: int = ROUNDS
+    shocks: DataFrame,
+    keys: Sequence[str],
+    p: Sequence[int],
+    q: Sequence[int],
+    seasonal: Sequence[tuple[int, int, int]] = ((0, 0, 0),),
+    rounds: int = ROUNDS,
 ) -> DataFrame:
-    """(keys, season, p, q, n, loglik, rss, aic, bic, terms, coef, status) of every order.
+    """(keys, season, p, q, sp, sq, n, loglik, rss, aic, bic, terms, coef, status) of every order.
+
+    ``seasonal`` lists (sp, sq, season): the short and the seasonal polynomials are multiplied,
+    so a coefficient at a lag such as season + 1 follows from the two that make it.
 
     Takes the ``z``, ``j``, ``n`` and ``sd`` columns of :func:`loomcast.operators.arma.innovations`.
     The likelihood is that of all rows from a stationary start, with a mean and the shocks'
@@ -106,17 +125,17 @@ def likelihood_grid(
     keys = list(keys)
     slim = shocks.select(*keys, "j", "n", "z", "sd")
     shape = key_schema(shocks, keys, FITTED)
-    orders = [(int(a), int(b)) for a in p for b in q]
+    orders: list[Order] = [(int(a), int(b), *s) for a in p for b in q for s in seasonal]
 
     def none(n: int, own) -> pd.DataFrame:
-        rows = [(0, a, b, n, None, None, None, None, None, None, "not fitted") for a, b in own]
+        rows = [(o[4], *o[:4], n, None, None, None, None, None, None, "not fitted") for o in own]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in FITTED.split(", ")])
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("j", ignore_index=True)
         z, sd, first = pdf["z"].to_numpy(), float(pdf["sd"].iloc[0]), int(pdf["_p"].iloc[0])
         own = [o for o in orders if o[0] == first]
-        fit = [o for o in own if len(z) > sum(o) + 2 and np.ptp(z) > 0]
+        fit = [o for o in own if len(z) > sum(o[:4]) + 2 + o[4] * max(o[2:4]) and np.ptp(z) > 0]
         parts = [_searched(z, fit, sd, rounds)] if fit else []
         parts += [none(len(z), [o for o in own if o not in fit])] if len(fit) < len(own) else []
         return _keyed(pd.concat(parts, ignore_index=True), pdf, keys, shape.names)
@@ -164,11 +183,11 @@ def _joined(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def _points(state: bytes):
-    search, p, q = pickle.loads(state)
-    return _coefficients([(p, q)], [search.points if not search.done else search.x[None, :]])
+    search, order = pickle.loads(state)
+    return _coefficients([order], [search.points if not search.done else search.x[None, :]])
 
 
-def _blocked_grid(rows: DataFrame, keys: list[str], orders: list[tuple[int, int]], rounds: int, shape) -> DataFrame:
+def _blocked_grid(rows: DataFrame, keys: list[str], orders: list[Order], rounds: int, shape) -> DataFrame:
     rows = settle(rows)
     # autocorrelations of the first block give the searches their start
     head = rows.where(F.col("j") < BLOCK_ROWS)
@@ -176,22 +195,23 @@ def _blocked_grid(rows: DataFrame, keys: list[str], orders: list[tuple[int, int]
 
     def begin(pdf: pd.DataFrame) -> pd.DataFrame:
         z = pdf.sort_values("j")["z"].to_numpy()
-        out = [(f"{p},{q}", int(pdf["n"].iloc[0]), float(pdf["sd"].iloc[0]), pickle.dumps((Search(_start(z, p, q), rounds), p, q)), True) for p, q in orders]
+        n, sd = int(pdf["n"].iloc[0]), float(pdf["sd"].iloc[0])
+        out = [(str(o), n, sd, pickle.dumps((Search(_start(z, o), rounds), o)), True) for o in orders]
         out = pd.DataFrame(out, columns=["name", "n", "sd", "state", "open"]).astype({"name": object})
         return _keyed(out, pdf, keys, states_shape.names)
 
     def step(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty or states.empty or not states["open"].iloc[0]:
             return states[states_shape.names]
-        search, p, q = pickle.loads(states["state"].iloc[0])
+        search, order = pickle.loads(states["state"].iloc[0])
         search.tell(log_likelihood(*_joined(pdf)))
-        out = states.assign(state=[pickle.dumps((search, p, q))], open=[not search.done])
+        out = states.assign(state=[pickle.dumps((search, order))], open=[not search.done])
         return out[states_shape.names].astype({"name": object})
 
     def end(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
-        search, p, q = pickle.loads(states["state"].iloc[0])
+        search, order = pickle.loads(states["state"].iloc[0])
         squares, _, n = _joined(pdf)
-        row = _row(search, p, q, n, float(states["sd"].iloc[0]), float(squares[0]))
+        row = _row(search, order, n, float(states["sd"].iloc[0]), float(squares[0]))
         return _keyed(pd.DataFrame([row], columns=[c.split()[0] for c in FITTED.split(", ")]), states, keys, shape.names)
 
     by = [*keys, "name"]

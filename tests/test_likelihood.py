@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomcast.functions.kalman import gains, joined, log_likelihood, stationary, summarised
+from loomcast.functions.kalman import gains, joined, log_likelihood, product, stationary, summarised
 from loomcast.operators import arma
 from loomcast.operators import likelihood as L
 from loomcast.operators.reshape import series_index
@@ -33,6 +33,37 @@ def test_equals_the_normal_density(p, q):
         assert np.allclose(parts[0], squares) and np.allclose(parts[1], logs)
 
 
+def test_polynomials_are_multiplied():
+    draw = np.random.default_rng(1)
+    short, seasonal = draw.normal(size=(3, 2)), draw.normal(size=(3, 2))
+    for sign in (1, -1):
+        found = product(short, seasonal, 5, sign)
+        for s in range(3):
+            long = np.zeros(11)
+            long[[0, 5, 10]] = [1, *(sign * seasonal[s])]
+            assert np.allclose(np.r_[1, sign * found[s]], np.polymul(np.r_[1, sign * short[s]][::-1], long[::-1])[::-1])
+
+
+def test_recovers_a_product_of_seasons(spark):
+    draw, rows = np.random.default_rng(8), []
+    phi = product(np.array([[0.5]]), np.array([[0.6]]), 12, -1)[0]
+    theta = product(np.array([[0.3]]), np.array([[0.4]]), 12, 1)[0]
+    e, y = draw.normal(size=1400), np.zeros(1400)
+    for t in range(13, 1400):
+        y[t] = phi @ y[t - 13 : t][::-1] + e[t] + theta @ e[t - 13 : t][::-1]
+    rows = [("a", t, float(7 + 2 * v)) for t, v in enumerate(y[400:])]
+    table = series_index(spark.createDataFrame(rows, "k string, h long, v double"), ["k"], "h", span=(0, 10_000))
+    noise = arma.innovations(table, ["k"], "i", "v")
+    found = {(r.sp, r.sq): r for r in L.likelihood_grid(noise, ["k"], [1], [1], [(0, 0, 0), (1, 1, 12)]).collect()}
+    best = found[1, 1]
+    terms = dict(zip(best.terms, best.coef))
+    assert best.status == "ok" and best.aic < found[0, 0].aic - 100 and best.season == 12
+    for name, value in (("ar_1", 0.5), ("ar_12", 0.6), ("ma_1", 0.3), ("ma_12", 0.4)):
+        assert abs(terms[name] - value) < 0.13
+    assert abs(terms["ar_13"] + terms["ar_1"] * terms["ar_12"]) < 1e-9 and abs(terms["ma_13"] - terms["ma_1"] * terms["ma_12"]) < 1e-9
+    assert abs(np.sqrt(best.rss / best.n) - 2) < 0.15
+
+
 @pytest.fixture(scope="module")
 def shocks(spark):
     draw, rows = np.random.default_rng(2), []
