@@ -351,6 +351,13 @@ def _(spark, sf):
     return rounded(found, 8, "statistic", "p_value")
 
 
+@query("ks_exact_halves")
+def _(spark, sf):
+    halves = split_half(weekly(spark, sf), ["k"], "i")
+    found = H.ks_two_sample(halves, ["k"], "part", "y", "first", "second", exact=True)
+    return rounded(found, 8, "statistic", "p_value")
+
+
 @query(
     "anova_oneway",
     "WITH g AS (SELECT l_linestatus AS k, l_returnflag AS g, count(*)::DOUBLE AS n, avg(l_extendedprice) AS m, var_pop(l_extendedprice) AS v "

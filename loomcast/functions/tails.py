@@ -113,6 +113,36 @@ def adf_p(tau):
     return np.where(tau < ADF_LOWEST, 0.0, np.where(tau > ADF_HIGHEST, 1.0, p))
 
 
+def ks_exact(n1: int, n2: int, statistic: float) -> float:
+    """P(largest gap >= statistic) for two samples without equal values, by counting lattice paths.
+
+    A path goes right with each value of the first sample and up with each of the second.
+    Step by step along the diagonals it holds the share of paths that have left the band
+    of smaller gaps; only the band's own places are kept.
+    """
+    total, least = n1 + n2, round(statistic * n1 * n2)
+    if least <= 0:
+        return 1.0
+
+    def band(s: int) -> tuple[int, int]:
+        # |i * n2 - (s - i) * n1| < least, inside the rectangle
+        return max(0, s - n2, (s * n1 - least) // total + 1), min(n1, s, -((-s * n1 - least) // total) - 1)
+
+    low, high = band(0)
+    left = np.zeros(high - low + 1)
+    for s in range(1, total + 1):
+        new_low, new_high = band(s)
+        if new_high < new_low:
+            return 1.0
+        i = np.arange(new_low, new_high + 1)
+        wide = np.ones(high - low + 3)  # places beside the band have left it
+        wide[1:-1] = left
+        from_left, from_below = (np.clip(at - low + 1, 0, len(wide) - 1) for at in (i - 1, i))
+        left = (wide[from_left] * i + wide[from_below] * (s - i)) / s
+        low, high = new_low, new_high
+    return float(left[0]) if low <= n1 <= high else 1.0
+
+
 def _masked(function, *columns: pd.Series) -> pd.Series:
     known = ~pd.concat(columns, axis=1).isna().any(axis=1)
     out = pd.Series(np.nan, index=columns[0].index, dtype=float)
@@ -144,3 +174,8 @@ def normal_score(p: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def adf_tail(tau: pd.Series) -> pd.Series:
     return _masked(adf_p, tau)
+
+
+@F.pandas_udf(T.DoubleType())
+def ks_tail(n1: pd.Series, n2: pd.Series, statistic: pd.Series) -> pd.Series:
+    return _masked(lambda *c: np.array([ks_exact(int(a), int(b), d) for a, b, d in zip(*c)]), n1, n2, statistic)

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from loomcast.functions.blocks import BLOCK_VALUES, running_totals, value_splits
 from loomcast.functions.joins import attach
-from loomcast.functions.tails import chi2_tail, f_tail, normal_score
+from loomcast.functions.tails import chi2_tail, f_tail, ks_tail, normal_score
 from loomcast.operators.spectrum import acf
 from loomcast.session import settle
 
+#: Rows of the larger sample up to which the two-sample test's p-value is exact.
+EXACT_ROWS = 10_000
+
 
 def ks_two_sample(
     df: DataFrame,
@@ -22,11 +25,14 @@ def ks_two_sample(
     first,
     second,
     max_rows: int = BLOCK_VALUES,
+    exact: bool = False,
 ) -> DataFrame:
     """(keys, n1, n2, statistic, p_value): largest gap between two empirical distributions.
 
     Rows are counted per distinct value before any order is needed, so equal values
-    move both distributions at once.  The p-value is the asymptotic one.
+    move both distributions at once.  The p-value is the asymptotic one; with ``exact`` it
+    is the exact one of samples without equal values where neither has more than
+    ``EXACT_ROWS`` rows, and a column ``method`` says which.
     """
     keys = list(keys)
     sample = df.where(F.col(value).isNotNull() & F.col(group).isin(first, second))
@@ -54,7 +60,13 @@ def ks_two_sample(
     )
     total = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
     tail = F.when(reach < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
-    return found.withColumn("p_value", tail)
+    found = found.withColumn("p_value", tail)
+    if not exact:
+        return found
+    small = F.greatest("n1", "n2") <= EXACT_ROWS
+    found = found.withColumn("method", F.when(small, "exact").otherwise("asymptotic"))
+    own = ks_tail(F.when(small, F.col("n1")), F.col("n2"), F.col("statistic"))
+    return found.withColumn("p_value", F.when(small, own).otherwise(F.col("p_value")))
 
 
 def anova_oneway(df: DataFrame, keys: Sequence[str], group: str, value: str) -> DataFrame:

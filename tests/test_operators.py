@@ -394,3 +394,34 @@ def test_lasso_gap_certifies_the_fit(n, p):
         value = lambda v, a=alpha: ((y - x @ v) ** 2).mean() / 2 + a * np.abs(v).sum()
         best = min(value(w + step) for step in 1e-3 * draw.normal(size=(50, p)))
         assert best >= value(w) - 1e-12
+
+
+@pytest.mark.parametrize("n1,n2", [(1, 1), (3, 3), (4, 7), (8, 5), (8, 8)])
+def test_exact_two_sample_p_equals_enumeration(n1, n2):
+    from itertools import combinations
+
+    from loomcast.functions.tails import ks_exact
+
+    gaps = []
+    for own in combinations(range(n1 + n2), n1):
+        step = np.array([1 / n1 if k in own else -1 / n2 for k in range(n1 + n2)])
+        gaps.append(np.abs(np.cumsum(step)).max())
+    for d in sorted({round(g, 12) for g in gaps}):
+        assert abs(ks_exact(n1, n2, d) - np.mean(np.array(gaps) >= d - 1e-9)) < 1e-12
+    assert ks_exact(n1, n2, 0.0) == 1.0
+
+
+def test_exact_two_sample_p_nears_the_asymptotic_one(spark):
+    from math import comb
+
+    from loomcast.functions.tails import ks_exact
+
+    # equal sizes have a closed form
+    n, k = 172, 19
+    closed = 2 * sum((-1) ** (j - 1) * comb(2 * n, n - j * k) / comb(2 * n, n) for j in range(1, n // k + 1))
+    assert abs(ks_exact(n, n, k / n) - closed) < 1e-12
+    rows = [(key, side, float(v)) for key in ("a", None) for side, shift in (("p", 0), ("q", 3)) for v in (np.arange(40) * 1.37 + shift + (side == "q") * 0.01)]
+    table = spark.createDataFrame(rows, "k string, half string, x double")
+    found = hypothesis.ks_two_sample(table, ["k"], "half", "x", "p", "q", exact=True).collect()
+    assert len(found) == 2 and {r.method for r in found} == {"exact"}
+    assert all(abs(r.p_value - ks_exact(40, 40, r.statistic)) < 1e-12 for r in found)
