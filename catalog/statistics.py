@@ -122,6 +122,17 @@ def _(spark, sf):
     return rounded(S.pacf(weekly(spark, sf), ["k"], "i", "y", 52), 8, "pacf", "half_width")
 
 
+@query(
+    "first_insignificant_of_two",
+    f"WITH {WEEKLY}, {_acf('s', 'y', 2)}, aj AS (SELECT k, h, n, r * n / (n - h) AS r FROM bd), "
+    "w AS (SELECT k, n, max(r) FILTER (h = 1) AS r1, max(r) FILTER (h = 2) AS r2 FROM aj GROUP BY k, n) "
+    "SELECT k, CASE WHEN abs(r1) < 1.959963984540054 / sqrt(n) THEN 1 "
+    "WHEN abs((r2 - r1 * r1) / (1 - r1 * r1)) < 1.959963984540054 / sqrt(n) THEN 2 END::INTEGER AS lag FROM w",
+)
+def _(spark, sf):
+    return S.first_insignificant_lag(S.pacf(weekly(spark, sf), ["k"], "i", "y", 2), ["k"])
+
+
 @query("first_insignificant_lag")
 def _(spark, sf):
     return S.first_insignificant_lag(S.pacf(weekly(spark, sf), ["k"], "i", "n", 52), ["k"])
@@ -174,6 +185,20 @@ def _(spark, sf):
     return rounded(parts, 4, "y", "season", "trend", "resid")
 
 
+@query(
+    "stl_known_parts",
+    # a straight line plus a pattern that sums to zero: both come back exactly
+    f"WITH {WEEKLY}, a AS (SELECT k, round(avg(n), 2) AS level FROM s GROUP BY k) "
+    "SELECT s.k, i, CAST(i * 37 % 52 - 25.5 AS DOUBLE) AS season, round(CAST(level + 0.25 * i AS DOUBLE), 3) AS trend, 0.0::DOUBLE AS resid FROM s JOIN a ON a.k = s.k",
+)
+def _(spark, sf):
+    frame = weekly(spark, sf)
+    level = frame.groupBy("k").agg(F.round(F.avg("n"), 2).alias("level"))
+    made = frame.join(level, "k").withColumn("x", F.col("level") + 0.25 * F.col("i") + F.col("i") * 37 % 52 - 25.5)
+    parts = D.stl(made, ["k"], "i", "x", 52)
+    return rounded(parts.select("k", "i", "season", "trend", "resid"), 3, "season", "trend", "resid")
+
+
 @query(
     "stl_restores_series",
     f"WITH {WEEKLY} SELECT k, i, round(y, 2) AS total FROM s",
