@@ -182,3 +182,25 @@ def test_no_keys(spark, panel):
     model = T.train_trees(table, [], "t", ["u", "v"], "y", {"trees": [3], "depth": [2]}, folds=2)
     assert T.predict_trees(table, model).where("prediction is null").count() == 0
 
+
+
+def test_no_condition_is_on_all_features_at_once(spark, monkeypatch):
+    made = []
+
+    def caught(df):
+        made.append(df)
+        raise InterruptedError
+
+    monkeypatch.setattr(T, "settle", caught)
+    names = [f"x{k}" for k in range(10)]
+    table = spark.createDataFrame([("a", 0, *range(10), 1.0)], f"k string, i long, {', '.join(f'{c} long' for c in names)}, y double")
+    with pytest.raises(InterruptedError):
+        T.train_trees(table, ["k"], "i", names, "y")
+    plan = made[0]._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "isnan" in plan and "atleastnnonnulls" not in plan
+
+
+def test_rows_without_a_value_take_no_part(spark):
+    rows = [(0, 1.0, 2.0), (1, None, 2.0), (2, float("nan"), 2.0), (3, 1.0, None), (4, 1.0, float("nan")), (5, 0.0, -1.0)]
+    table = spark.createDataFrame(rows, "i long, x double, y double")
+    assert sorted(r.i for r in T._complete(table, ["x", "y"]).collect()) == [0, 5]
