@@ -8,6 +8,7 @@ are encoded by the ``tokenizers`` library, many to a call.
 from __future__ import annotations
 
 import os
+from operator import add
 
 import numpy as np
 
@@ -44,7 +45,8 @@ class WordEncoder:
         out: list[bytes] = []
         for k in range(0, len(words), WORDS_A_CALL):
             part = words[k : k + WORDS_A_CALL]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            coded = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(coded.ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):
                 out += self._direct(part)
@@ -56,25 +58,32 @@ class WordEncoder:
         return out
 
     def _learn(self, words: list[str]) -> None:
-        split: list[tuple[str, str, str]] = []
+        # lists side by side: a tuple a word would keep the garbage collector busy
+        split: list[str] = []
+        lows: list[str] = []
+        tails: list[str] = []
         whole: list[str] = []
         plain: set[str] = set()
+        known, cores = self.known, self.cores
         for word in words:
             core = word.rstrip(TAIL)
-            tail = word[len(core) :]
-            low = core.lower()
-            if core.isalpha() and max(low) < "ɐ" and len(low) == len(core):
-                split.append((word, low, tail))
-                plain.update(x for x in (low,) if x not in self.cores)
-                if tail not in self.cores:
-                    self.cores[tail] = self._direct([tail])[0]
+            low = core if core.islower() else core.lower()  # the same object is held once
+            if core.isalpha() and (core.isascii() or max(low) < "ɐ" and len(low) == len(core)):
+                tail = word[len(core) :]
+                split.append(word)
+                lows.append(low)
+                tails.append(tail)
+                if low not in cores:
+                    plain.add(low)
+                if tail not in cores:
+                    cores[tail] = self._direct([tail])[0]
             else:
                 whole.append(word)
         fresh = list(plain)
-        self.cores.update(zip(fresh, self._plain(fresh)))
-        for word, low, tail in split:
-            self.known[word] = self.cores[low] + self.cores[tail]
-        self.known.update(zip(whole, self._direct(whole)))
+        cores.update(zip(fresh, self._plain(fresh)))
+        of = cores.__getitem__
+        known.update(zip(split, map(add, map(of, lows), map(of, tails))))
+        known.update(zip(whole, self._direct(whole)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > WORDS_HELD or len(self.cores) > WORDS_HELD:
@@ -83,7 +92,7 @@ class WordEncoder:
         fresh = set()
         for words in split:
             fresh.update(words)
-        fresh.difference_update(self.known.keys())
+        fresh = fresh.difference(self.known)  # looks each one up; difference_update would go through all known words
         if fresh:
             self._learn(list(fresh))
         find = self.known.__getitem__

@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import defaultdict
 
@@ -85,3 +86,31 @@ def test_words_equal_the_library():
     for text in odd + [" ".join(some_words(k, 50)) for k in range(10)]:
         want = np.array(theirs.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         assert own.encode([text])[0] == want
+
+
+def test_a_call_costs_its_own_words():
+    own = WordEncoder(PATH)
+    own.known.update((f"{k} held", b"") for k in range(400_000))
+    own.encode(["ab"])
+    began = time.process_time()
+    for _ in range(10):
+        {"x"}.difference_update(own.known.keys())
+    ten_rounds = time.process_time() - began
+    began = time.process_time()
+    for _ in range(100):
+        own.encode(["ab ab"])
+    assert time.process_time() - began < ten_rounds
+
+
+def test_words_are_encoded_without_offsets():
+    own, names = WordEncoder(PATH), []
+    real = own.tokenizer
+
+    class Watched:
+        def __getattr__(self, name):
+            names.append(name)
+            return getattr(real, name)
+
+    own.tokenizer = Watched()
+    assert own.encode(["some plain Words, éa x1"]) == WordEncoder(PATH).encode(["some plain Words, éa x1"])
+    assert set(names) == {"encode_batch_fast"}
